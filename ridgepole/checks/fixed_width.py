@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ridgepole.checks.registry import check, table
 from ridgepole.operators.fixed_width import format_lines, parse_lines, parse_lines_inferred
-from ridgepole.operators.layout import Layout, clean_field_names, column_spans, field_starts, usable_fields
+from ridgepole.operators.layout import Layout, column_spans, describe_fields, usable_fields
 
 LINE_ITEM = Layout.of(
     [
@@ -179,8 +179,7 @@ _LABELLED_SQL = """
 def layout_build(spark, sf_dir):
     """Names, widths and start positions of one layout per brand."""
     fields = usable_fields(_labelled_parts(spark, sf_dir), keep=("p_brand", "p_partkey"))
-    named = clean_field_names(fields, ["p_brand"], "p_partkey")
-    return field_starts(named, ["p_brand"], "p_partkey")
+    return describe_fields(fields, ["p_brand"], "p_partkey")
 
 
 @check(
@@ -191,5 +190,5 @@ def layout_build(spark, sf_dir):
 )
 def layout_dedupe_names(spark, sf_dir):
     """All parts as one document whose names repeat."""
-    fields = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("column_name"))
-    return clean_field_names(fields, [], "p_partkey")
+    fields = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("column_name"), F.lit(1).alias("column_width"))
+    return describe_fields(fields, [], "p_partkey").select("p_partkey", "column_name")

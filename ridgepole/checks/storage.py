@@ -159,7 +159,7 @@ _LINKS_SQL = """
     hrefs as (
         select page_id, url, unnest(list_zip(h, range(len(h)))) as pair
         from (select page_id, url, regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
-                  '(?is)<a\\s(?:[^>"'']|"[^"]*"|''[^'']*'')*?\\bhref\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s>"'']+)', 1) as h from pages)),
+                  '(?is)<a(?:\\s(?:[^>"'']|"[^"]*"|''[^'']*'')*?)?\\shref\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s>"'']+)', 1) as h from pages)),
     links as (
         select page_id, pair[2] as position, trim(regexp_replace(pair[1], '^["'']|["'']$', '', 'g')) as href,
                regexp_extract(url, '^(https?://[^/?#]*)', 1) as site

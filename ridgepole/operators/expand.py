@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ridgepole.functions import text
 from ridgepole.operators import columns as cols
 
-PIECE = 4096
+PIECE = 1 << 16
 
 
 def explode_range(df: DataFrame, start: str, end: str, out: str, *, spread: bool = False) -> DataFrame:
@@ -18,13 +18,11 @@ def explode_range(df: DataFrame, start: str, end: str, out: str, *, spread: bool
     ``spread`` hands the pieces to different tasks.
     """
     s, e = cols.col(start).cast("bigint"), cols.col(end).cast("bigint")
-    pieces = df.where(s.isNotNull() & (e >= s)).select(
-        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((e - s) / F.lit(PIECE)).cast("bigint"))).alias("_piece")
-    )
+    pieces = df.where(s.isNotNull() & (e >= s)).select("*", F.explode(F.sequence(s, e, F.lit(PIECE).cast("bigint"))).alias("_low"))
     if spread:
-        pieces = pieces.repartition(s, F.col("_piece"))
-    low = s + F.col("_piece") * PIECE
-    return pieces.select(*[cols.col(n) for n in df.columns], F.explode(F.sequence(low, F.least(low + (PIECE - 1), e))).alias(out))
+        pieces = pieces.repartition(F.col("_low"))
+    numbers = F.sequence(F.col("_low"), F.least(F.col("_low") + (PIECE - 1), e))
+    return pieces.select(*[cols.col(n) for n in df.columns], F.explode(numbers).alias(out))
 
 
 def explode_tokens(df: DataFrame, numbers: str, out: str = "token", position: str = "token_no") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ridgepole.operators import columns as cols
 from ridgepole.operators.expand import explode_range
-from ridgepole.operators.running import BLOCK
+from ridgepole.operators.running import BLOCK, block_of
 
 
 def missing_ranges(df: DataFrame, keys: Sequence[str], number: str, block: int = BLOCK) -> DataFrame:
@@ -24,7 +24,7 @@ def missing_ranges(df: DataFrame, keys: Sequence[str], number: str, block: int =
         df.where(cols.col(number).isNotNull())
         .select(*k, cols.col(number).cast("bigint").alias("_n"))
         .distinct()
-        .withColumn("_block", F.floor(F.col("_n") / F.lit(block)).cast("bigint"))
+        .withColumn("_block", block_of(F.col("_n"), block))
     )
     inside = Window.partitionBy(*k, "_block").orderBy("_n")
     near = numbers.select(*k, F.lag("_n").over(inside).alias("_prev"), F.col("_n").alias("_next"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ridgepole.functions import text
 from ridgepole.operators import columns as cols
-from ridgepole.operators.running import BLOCK, running_total
+from ridgepole.operators.running import BLOCK, Total, running_totals
 
 # A record description is hand-made; anything longer is a data table given by mistake.
 MOST_FIELDS = 10_000
@@ -89,28 +89,32 @@ def usable_fields(df: DataFrame, name: str = "Field Name", width: str = "Field W
     ).where(F.col("column_width").isNotNull())
 
 
-def clean_field_names(df: DataFrame, keys: Sequence[str], order: str, name: str = "column_name", block: int = BLOCK) -> DataFrame:
-    """Strip names, name the nameless, and number repeats within each document.
+def describe_fields(
+    df: DataFrame, keys: Sequence[str], order: str, separator_width: int = 1, block: int = BLOCK
+) -> DataFrame:
+    """Final name and start position of every field, for many documents at once.
 
-    The count of earlier twins is a blocked running total, so one name shared by a third
-    of all rows does not end up in one task.
+    Names are stripped, the nameless named, and repeats within a document numbered in
+    field order; ``column_start`` is the sum of all earlier widths and separators.  Both
+    are blocked running totals: neither a huge document nor a name shared by a third of
+    all rows ends up in one task.
     """
-    stripped = text.strip(F.coalesce(cols.col(name), F.lit("None")))
-    base = df.withColumn("_base", F.when(stripped == "", F.lit("unnamed")).otherwise(stripped))
-    counted = running_total(base, [*keys, "_base"], order, F.lit(1), "_nth", block=block)
-    numbered = F.concat(F.col("_base"), F.lit("_"), F.col("_nth").cast("string"))
-    unique = F.when(F.col("_nth") > 1, numbered).otherwise(F.col("_base"))
-    return counted.select(*[unique.alias(n) if n == name else cols.col(n) for n in df.columns])
-
-
-def field_starts(
-    df: DataFrame, keys: Sequence[str], order: str, width: str = "column_width", separator_width: int = 1, block: int = BLOCK
-) -> DataFrame:
-    """Add ``column_start``: all earlier widths of the document plus their separators."""
     if separator_width < 0:
         raise ValueError("separator_width must be >= 0")
-    step = cols.col(width) + F.lit(separator_width)
-    return running_total(df, keys, order, step, "column_start", inclusive=False, block=block)
+    stripped = text.strip(F.coalesce(F.col("column_name"), F.lit("None")))
+    base = df.withColumn("_base", F.when(stripped == "", F.lit("unnamed")).otherwise(stripped))
+    counted = running_totals(
+        base,
+        order,
+        [
+            Total([*keys, "_base"], F.lit(1), "_nth"),
+            Total(keys, F.col("column_width") + F.lit(separator_width), "column_start", inclusive=False),
+        ],
+        block,
+    )
+    numbered = F.concat(F.col("_base"), F.lit("_"), F.col("_nth").cast("string"))
+    unique = F.when(F.col("_nth") > 1, numbered).otherwise(F.col("_base")).alias("column_name")
+    return counted.select(*[unique if n == "column_name" else cols.col(n) for n in df.columns], "column_start")
 
 
 def collect_layout(df: DataFrame, order: str, separator_width: int = 1) -> Layout:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,41 +26,50 @@ def same_keys(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def running_total(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    value: Column,
-    out: str,
-    *,
-    inclusive: bool = True,
-    block: int = BLOCK,
-) -> DataFrame:
-    """Sum of ``value`` over the rows of a key up to the current one, by ``order``.
-
-    ``order`` is a whole number, unique within the key.  Rows are cut into blocks of
-    ``block`` consecutive numbers, so a window never holds more than that many rows
-    however large the key; the per-block totals (one row per block) are then summed and
-    joined back.  The join finds its left side already partitioned by key and block.
+def block_of(number: Column, block: int) -> Column:
+    """First number of the block a whole number lies in (exact for any bigint)."""
+    return number - F.pmod(number, F.lit(block).cast("bigint"))
+
+
+@dataclass(frozen=True)
+class Total:
+    """Sum of ``value`` within ``keys`` up to the current row, or up to the one before it."""
+
+    keys: Sequence[str]
+    value: Column
+    out: str
+    inclusive: bool = True
+
+
+def running_totals(df: DataFrame, order: str, totals: Sequence[Total], block: int = BLOCK) -> DataFrame:
+    """Add running totals by ``order``, a whole number that is unique within each key.
+
+    Rows are cut into blocks of ``block`` consecutive numbers, so a window never holds
+    more rows than that however large its key; the per-block sums, one row per block,
+    are then accumulated and joined back.  All per-block sums are partial aggregates
+    over the input itself, so several totals do not pile up on each other's plans.
     """
-    parts = [*keys, "_block"]
-    cut = df.select(
-        "*", F.floor(cols.col(order) / F.lit(block)).cast("bigint").alias("_block"), value.cast("bigint").alias("_v")
-    )
-    within = Window.partitionBy(*[cols.col(k) for k in parts]).orderBy(cols.col(order))
-    local = cut.withColumn("_run", F.sum("_v").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    totals = cut.groupBy(*[cols.col(k) for k in parts]).agg(F.sum("_v").alias("_total"))
-    if keys:
-        across = Window.partitionBy(*[cols.col(k) for k in keys]).orderBy("_block")
-    else:
-        # one row per 65,536 input rows; a constant key only names the single group
-        across = Window.partitionBy(F.lit(1)).orderBy("_block")
-    offsets = totals.select(
-        *[cols.col(k) for k in parts],
-        F.sum("_total").over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-    )
-    joined = local.join(with_join_keys(offsets, parts), same_keys(parts), "left")
-    total = F.col("_run") + F.coalesce(F.col("_before"), F.lit(0))
-    if not inclusive:
-        total = total - F.coalesce(F.col("_v"), F.lit(0))
-    return joined.select(*[cols.col(n) for n in df.columns], total.alias(out))
+    number = cols.col(order).cast("bigint")
+    values = [t.value.cast("bigint").alias(f"_v{i}") for i, t in enumerate(totals)]
+    cut = df.select("*", block_of(number, block).alias("_block"), *values)
+    result = cut
+    for i, t in enumerate(totals):
+        parts = [*t.keys, "_block"]
+        within = Window.partitionBy(*[cols.col(k) for k in parts]).orderBy(cols.col(order))
+        result = result.withColumn(f"_run{i}", F.sum(f"_v{i}").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    for i, t in enumerate(totals):
+        parts = [*t.keys, "_block"]
+        sums = cut.groupBy(*[cols.col(k) for k in parts]).agg(F.sum(f"_v{i}").alias("_sum"))
+        # without keys there is one group, of one row per block
+        across = Window.partitionBy(*([cols.col(k) for k in t.keys] or [F.lit(1)])).orderBy("_block")
+        before = F.sum("_sum").over(across.rowsBetween(Window.unboundedPreceding, -1))
+        offsets = with_join_keys(sums.select(*[cols.col(k) for k in parts], before.alias(f"_before{i}")), parts)
+        keys = [f"_key{j}" for j in range(len(parts))]
+        result = result.join(offsets, same_keys(parts), "left").drop(*keys)
+    added = []
+    for i, t in enumerate(totals):
+        total = F.col(f"_run{i}") + F.coalesce(F.col(f"_before{i}"), F.lit(0))
+        if not t.inclusive:
+            total = total - F.coalesce(F.col(f"_v{i}"), F.lit(0))
+        added.append(total.alias(t.out))
+    return result.select(*[cols.col(n) for n in df.columns], *added)

@@ -88,12 +88,18 @@ class BankData:
             for year in range(min_year, max_year + 1)
         ]
         everything = f"{save_folder}/fhlb_acquisitions_{min_year}-{max_year}.parquet"
-        written = [sinks.write_table(union_relaxed(frames), everything)]
-        # read back: the counts and the subset prune and filter the stored table
-        whole = self.spark.read.parquet(everything)
-        if max_year > 2018 and "Loan Acquisition Date" in whole.columns:
-            recent = recent_subset(whole, "Loan Acquisition Date", rows_from=2018, columns_from=2019)
-            written.append(sinks.write_table(recent, f"{save_folder}/fhlb_acquisitions_2018-{max_year}.parquet"))
+        recent = f"{save_folder}/fhlb_acquisitions_2018-{max_year}.parquet"
+        whole = union_relaxed(frames)
+        pruned = max_year > 2018 and "Loan Acquisition Date" in whole.columns
+        written = []
+        # both tables share one name when the years start in 2018; the subset is kept then
+        if not (pruned and recent == everything):
+            written.append(sinks.write_table(whole, everything))
+            # the counts and the subset prune and filter the stored table
+            whole = self.spark.read.parquet(everything)
+        if pruned:
+            subset = recent_subset(whole, "Loan Acquisition Date", rows_from=2018, columns_from=2019)
+            written.append(sinks.write_table(subset, recent))
         return written
 
     # --- members ---

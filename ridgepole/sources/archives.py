@@ -34,6 +34,8 @@ def _open(uri: str):
 
 
 def _read_directories(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import ArrowInvalid  # raised when a file is too short to seek to its directory
+
     for batch in batches:
         for uri in batch["path"]:
             system, where = _open(uri)
@@ -44,7 +46,7 @@ def _read_directories(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
                         for i, m in enumerate(archive.infolist())
                         if not m.is_dir()
                     ]
-            except zipfile.BadZipFile:
+            except (zipfile.BadZipFile, ArrowInvalid):
                 rows = [(uri, None, None, None, False)]
             yield pd.DataFrame(rows, columns=["archive", "member", "position", "size", "readable"])
 

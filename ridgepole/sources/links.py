@@ -11,8 +11,12 @@ from ridgepole.functions import paths
 from ridgepole.operators import columns as cols
 from ridgepole.operators.dedupe import keep_first
 
-# an anchor tag up to its href value, with quoted attribute values stepped over
-ANCHOR = r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+# An anchor tag up to the value of its href attribute.  Quoted values of other attributes
+# are stepped over; the loop never backtracks, so broken markup costs linear time.
+ANCHOR = (
+    r"""(?is)<a(?=[\s/])(?:(?!\shref\s*=)(?:[^>"']|"[^"]*"|'[^']*'))*+"""
+    r"""\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+)
 
 
 def hrefs(html: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import posixpath
 import re
 from collections.abc import Iterable, Mapping, Sequence
@@ -75,19 +77,17 @@ def read_sheet(spark: SparkSession, path: str, skip_rows: int = 0) -> DataFrame:
     quoted cells may span lines, so one task reads one sheet; many sheets run side by
     side once combined.  All columns are text.
     """
-    numbered = (
-        spark.read.option("multiLine", True)
-        .option("escape", '"')
-        .csv(path)
-        .withColumn("_row", F.monotonically_increasing_id())
-    )
-    header = numbered.where(F.col("_row") == skip_rows).first()
+    reader = spark.read.option("multiLine", True).option("escape", '"')
+    # with one declared column, the text of every wider record lands in the second
+    records = reader.schema("_first string, _record string").option("columnNameOfCorruptRecord", "_record").csv(path)
+    header = records.withColumn("_row", F.monotonically_increasing_id()).where(F.col("_row") == skip_rows).first()
     if header is None:
         raise ValueError(f"{path} has no header row after {skip_rows} rows")
-    given = header[:-1]
-    names = [f"Unnamed: {i}" if n is None else n for i, n in enumerate(given)]
-    data = numbered.where(F.col("_row") > skip_rows).drop("_row")
-    return data.toDF(*names)
+    given = next(csv.reader(io.StringIO(header["_record"]))) if header["_record"] is not None else [header["_first"]]
+    names = [name or f"Unnamed: {i}" for i, name in enumerate(given)]
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+    rows = reader.schema(schema).csv(path).withColumn("_row", F.monotonically_increasing_id())
+    return rows.where(F.col("_row") > skip_rows).drop("_row").toDF(*names)
 
 
 def bank_export_name(year: int) -> str:
