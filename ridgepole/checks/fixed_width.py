@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgepole.checks.registry import check, table
+from ridgepole.config import DataPaths
 from ridgepole.operators.fixed_width import format_lines, parse_lines, parse_lines_inferred
 from ridgepole.operators.layout import Layout, column_spans, describe_fields, usable_fields
+from ridgepole.plans.loan_files import LoanFiles
+from ridgepole.session import scratch_dir
+from ridgepole.sources import sinks
 
 LINE_ITEM = Layout.of(
     [
@@ -77,6 +81,26 @@ def fixed_width_agg(spark, sf_dir):
     )
 
 
+@check(
+    """
+    select l_orderkey, l_partkey, l_suppkey, cast(l_linenumber as bigint) as l_linenumber, l_quantity,
+           cast(cast(l_extendedprice as decimal(18,2)) as double) as l_extendedprice,
+           l_discount, l_returnflag, cast(l_shipdate as date) as l_shipdate
+    from lineitem
+    """
+)
+def fixed_width_load(spark, sf_dir):
+    """Stored lines and a stored dictionary, loaded together as a job would."""
+    root = scratch_dir(spark, "load")
+    line_item_lines(spark, sf_dir).write.text(f"{root}/lines.txt")
+    dictionary = [(i + 1, f.width, f" {f.name} ") for i, f in enumerate(LINE_ITEM.fields)]
+    described = spark.createDataFrame(dictionary, "`Field #` int, `Field Width` int, `Field Name` string")
+    sinks.write_table(described.coalesce(1), f"{root}/dictionary.csv", "csv")
+    job = LoanFiles(spark, DataPaths.under(root))
+    loaded = job.load(f"{root}/lines.txt", f"{root}/dictionary.csv", types={f.name: f.type for f in LINE_ITEM.fields})
+    return loaded.withColumn("l_extendedprice", F.col("l_extendedprice").cast("double"))
+
+
 SHORT = Layout.of([("k", 19), ("p", 19), ("s", 19), ("flag", 1)]).typed({"k": "bigint", "p": "bigint", "s": "bigint"})
 
 

@@ -37,10 +37,14 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(_BLANKS))
 
 
-def blank_to_null(c: Column, missing: tuple[str, ...] = ()) -> Column:
-    """Stripped text, null when nothing (or only a missing token) is left."""
-    stripped = strip(c)
-    return F.when(~stripped.isin("", *missing), stripped)
+def strip_blanks(c: Column) -> Column:
+    """Drop blanks and tabs at both ends (a field of a line holds no line end)."""
+    return F.trim(c, F.lit(" \t"))
+
+
+def starts_late(c: Column) -> Column:
+    """True when a line holds anything but blanks; only its left end is looked at."""
+    return F.ltrim(c, F.lit(_BLANKS)) != ""
 
 
 def plain_dashes(c: Column) -> Column:
@@ -63,6 +67,35 @@ def file_label(c: Column) -> Column:
     return F.regexp_replace(c, r"[^A-Za-z0-9_\-]", "_")
 
 
+def _number_start(c: Column) -> Column:
+    """Signs, points, digits and blanks all sort before the colon, letters after it.
+
+    A failing cast is dear (it raises inside), so this sifts out most text first.
+    """
+    return c < ":"
+
+
+def looks_whole(c: Column) -> Column:
+    """True for text that reads as a bigint."""
+    return F.when(_number_start(c) & ~c.contains("."), c.try_cast("bigint").isNotNull()).otherwise(False)
+
+
+def _plain_number(c: Column) -> Column:
+    """No type suffix: a cast would read codes like ``1D`` and ``2F`` as numbers."""
+    return ~F.right(c, F.lit(1)).isin("d", "D", "f", "F")
+
+
+def looks_numeric(c: Column) -> Column:
+    """True for text that reads as a number, infinity included."""
+    infinite = F.lower(c).isin("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
+    return F.when(_number_start(c) & _plain_number(c), c.try_cast("double").isNotNull()).otherwise(infinite)
+
+
+def number_or_null(c: Column) -> Column:
+    """Lenient double from text."""
+    return F.when(_number_start(c) & _plain_number(c), c).try_cast("double")
+
+
 def whole_number(c: Column, what: str = "value") -> Column:
     """Strict text-to-bigint: bad text fails the job with or without ANSI mode."""
     parsed = c.try_cast("bigint")

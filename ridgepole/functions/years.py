@@ -22,7 +22,7 @@ def year_in_name(name: Column) -> Column:
 
 def year_folder(name: Column) -> Column:
     """A folder name read as a year; null unless it is one in the plausible range."""
-    year = F.trim(name).try_cast("int")
+    year = F.when(name.rlike(r"^\s*\d{4}\s*$"), name).try_cast("int")
     return F.when(year.between(FIRST_YEAR, LAST_YEAR), year)
 
 

@@ -6,17 +6,36 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridgepole.functions import text
 from ridgepole.operators import columns as cols
-from ridgepole.operators.infer import infer_types, with_types
+from ridgepole.operators.infer import infer_types
 from ridgepole.operators.layout import Field, Layout
 
 
-def field_value(line: Column, field: Field, missing: tuple[str, ...] = text.MISSING_TOKENS) -> Column:
-    """One field of a line: cut, stripped, null when blank or missing, leniently cast."""
-    value = text.blank_to_null(F.substring(line, field.start + 1, field.width), missing)
-    return value if field.type == "string" else value.try_cast(field.type)
+def _cut(line: Column, field: Field, is_bytes: bool) -> Column:
+    """The text of a field.
+
+    Bytes of a single-byte encoding are cut by offset, whatever the position.  Text has
+    to be walked from its start to find the n-th character, which makes late fields dear.
+    """
+    part = F.substring(line, field.start + 1, field.width)
+    if not is_bytes:
+        return part
+    # only text needs its characters decoded; numbers and dates are ASCII
+    return F.decode(part, "ISO-8859-1") if field.type == "string" else part.cast("string")
+
+
+def _number(part: Column, field: Field, missing: tuple[str, ...]) -> Column:
+    """Lenient cast of a cut field, null for text that is no value of the type.
+
+    Blank fields are common and a failing cast is dear, so they never reach the cast.
+    """
+    value = F.when(~part.isin("", " " * field.width), part).try_cast(field.type)
+    if field.type in ("double", "float") and "NaN" in missing:
+        return F.nanvl(value, F.lit(None).cast(field.type))
+    return value
 
 
 def parse_lines(
@@ -26,25 +45,44 @@ def parse_lines(
     keep: Sequence[str] = (),
     missing: tuple[str, ...] = text.MISSING_TOKENS,
 ) -> DataFrame:
-    """Cut each line by ``layout``.
+    """Cut each line by ``layout``, strip, null blanks and missing tokens, cast leniently.
 
-    Blank lines are dropped; a line too short for a field gives null.  The whole record
-    is one projection, so fields nobody selects are never cut out.
+    ``value`` holds text, or the bytes of latin-1 lines (what ``read_lines`` gives, and
+    the faster form).  Blank lines are dropped; a line too short for a field gives null.
+    Everything is projection, so fields nobody selects are never cut out.
     """
     line = cols.col(value)
-    return lines.where(text.strip(line) != "").select(
-        *[cols.col(k) for k in keep],
-        *[field_value(line, f, missing).alias(f.name) for f in layout.fields],
-    )
+    is_bytes = isinstance(lines.schema[value].dataType, T.BinaryType)
+    # a cast can stand in for the token test as long as no token reads as a value
+    tokens_are_known = set(missing) <= set(text.MISSING_TOKENS)
+    direct = {f.name for f in layout.fields if f.type != "string" and tokens_are_known}
+
+    def first(field: Field) -> Column:
+        part = _cut(line, field, is_bytes)
+        return part if field.name in direct else text.strip_blanks(part)
+
+    def second(field: Field) -> Column:
+        c = cols.col(field.name)
+        if field.name in direct:
+            return _number(c, field, missing)
+        given = F.when(~c.isin("", *missing), c)
+        return given if field.type == "string" else given.try_cast(field.type)
+
+    kept = [cols.col(k) for k in keep]
+    not_blank = text.starts_late(line.cast("string") if is_bytes else line)
+    cut = lines.where(not_blank).select(*kept, *[first(f).alias(f.name) for f in layout.fields])
+    # a second projection, so a stripped field is computed once though it is used twice
+    return cut.select(*kept, *[second(f).alias(f.name) for f in layout.fields])
 
 
 def parse_lines_inferred(lines: DataFrame, layout: Layout, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """As ``parse_lines``, with column types read from all values.
+    """As ``parse_lines``, with column types read from all values in one extra pass.
 
     Codes lose their leading zeros this way; prefer declared types.
     """
-    parsed = parse_lines(lines, layout, value, keep)
-    return with_types(parsed, infer_types(parsed, layout.names))
+    as_text = layout.typed(dict.fromkeys(layout.names, "string"))
+    types = infer_types(parse_lines(lines, as_text, value), layout.names)
+    return parse_lines(lines, layout.typed(types), value, keep)
 
 
 def format_lines(df: DataFrame, layout: Layout, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
@@ -52,13 +90,17 @@ def format_lines(df: DataFrame, layout: Layout, value: str = "value", keep: Sequ
 
     A value wider than its field fails the job instead of shifting the record.
     """
+    cells = df.select(
+        *[cols.col(k) for k in keep],
+        *[F.coalesce(cols.col(f.name).cast("string"), F.lit("")).alias(f"_cell{i}") for i, f in enumerate(layout.fields)],
+    )
     parts: list[Column] = []
     cursor = 0
-    for field in layout.fields:
+    for i, field in enumerate(layout.fields):
         if field.start > cursor:
             parts.append(F.lit(" " * (field.start - cursor)))
-        cell = F.coalesce(cols.col(field.name).cast("string"), F.lit(""))
+        cell = F.col(f"_cell{i}")
         too_wide = F.raise_error(F.concat(F.lit(f"{field.name} is wider than {field.width}: "), cell))
         parts.append(F.when(F.length(cell) > field.width, too_wide.cast("string")).otherwise(F.rpad(cell, field.width, " ")))
         cursor = field.start + field.width
-    return df.select(*[cols.col(k) for k in keep], F.concat(*parts).alias(value))
+    return cells.select(*[cols.col(k) for k in keep], F.concat(*parts).alias(value))

@@ -4,35 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgepole.functions import text
 from ridgepole.operators import columns as cols
 
 
+_KINDS = ("double", "bigint", "double", "string")
+
+
+def _kind(c: Column) -> Column:
+    """0 for null, then how wide a type the text needs: 1 whole, 2 number, 3 text."""
+    return F.when(c.isNull(), 0).when(text.looks_whole(c), 1).when(text.looks_numeric(c), 2).otherwise(3).cast("byte")
+
+
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
     """``bigint``, ``double`` or ``string`` per text column, from all values.
 
-    A single aggregate decides every column at once.  A column without values is
-    ``double`` (all missing).
+    A single aggregate decides every column at once: the widest kind of its values.  A
+    column without values is ``double`` (all missing).
     """
     names = list(columns or [n for n, t in df.dtypes if t == "string"])
-    tests = []
-    for i, name in enumerate(names):
-        c = cols.col(name)
-        tests += [
-            F.count(F.when(c.isNotNull() & c.try_cast("bigint").isNull(), 1)).alias(f"w{i}"),
-            F.count(F.when(c.isNotNull() & c.try_cast("double").isNull(), 1)).alias(f"d{i}"),
-            F.count(c).alias(f"n{i}"),
-        ]
-    row = df.agg(*tests).first()
-    found = {}
-    for i, name in enumerate(names):
-        if row[f"d{i}"] > 0:
-            found[name] = "string"
-        else:
-            found[name] = "double" if row[f"w{i}"] > 0 or row[f"n{i}"] == 0 else "bigint"
-    return found
+    kinds = df.select(*[_kind(cols.col(n)).alias(f"k{i}") for i, n in enumerate(names)])
+    row = kinds.agg(*[F.max(f"k{i}").alias(f"k{i}") for i in range(len(names))]).first()
+    return {n: _KINDS[row[i] or 0] for i, n in enumerate(names)}
 
 
 def with_types(df: DataFrame, types: dict[str, str]) -> DataFrame:

@@ -125,29 +125,39 @@ def collect_layout(df: DataFrame, order: str, separator_width: int = 1) -> Layou
     return Layout.of([(r["column_name"], r["column_width"]) for r in rows], separator_width)
 
 
-_CHUNK = 60
+_WORD = 7  # bytes per mask: fits a bigint whatever the bytes are
+_BLANK_WORD = int("20" * _WORD, 16)
+_LATIN = "ISO-8859-1"
 
 
 def column_spans(lines: DataFrame, value: str = "value") -> DataFrame:
     """Find fields in undescribed text: runs of positions not blank in every line.
 
-    Each line becomes a few 60-bit masks of its non-blank positions.  ``bit_or`` merges
-    the masks on the map side, so the shuffle carries one number per chunk and task no
-    matter how many lines there are, and only line-length many rows remain after it.
-    Returns ``start`` and ``width`` per field.
+    Lines are read as words of seven bytes.  A word differs from seven blanks in the bytes
+    that are used, and ``bit_or`` collects those over all lines on the map side.  So the
+    shuffle carries one number per word and task no matter how many lines there are, and
+    only line-length many rows remain after it.  Returns ``start`` and ``width`` per field.
     """
     c = cols.col(value)
-    marked = F.translate(F.regexp_replace(c, r"[^ \t]", "1"), " \t", "00")
-    chunks = lines.where(F.length(c) > 0).select(
-        marked.alias("_mask"),
-        F.explode(F.sequence(F.lit(0), F.floor((F.length(c) - 1) / F.lit(_CHUNK)).cast("int"))).alias("_chunk"),
+    if isinstance(lines.schema[value].dataType, T.BinaryType):
+        tabbed = F.instr(c.cast("string"), "\t") > 0
+        raw = F.when(tabbed, F.encode(F.translate(F.decode(c, _LATIN), "\t", " "), _LATIN)).otherwise(c)
+    else:
+        # one byte per character; which character it was does not matter
+        raw = F.encode(F.regexp_replace(F.translate(c, "\t", " "), "[^\\u0000-\\u00ff]", "x"), _LATIN)
+    count = F.floor((F.octet_length("_raw") + (_WORD - 1)) / F.lit(_WORD)).cast("int")
+    words = (
+        lines.select(raw.alias("_raw"))
+        .where(F.octet_length("_raw") > 0)
+        .select("_raw", F.explode(F.sequence(F.lit(0), count - 1)).alias("_word"))
     )
-    part = F.rpad(F.substring(F.col("_mask"), F.col("_chunk") * _CHUNK + 1, F.lit(_CHUNK)), _CHUNK, "0")
-    masks = chunks.groupBy("_chunk").agg(F.bit_or(F.conv(part, 2, 10).cast("bigint")).alias("_bits"))
+    part = F.hex(F.substring(F.col("_raw"), F.col("_word") * _WORD + 1, F.lit(_WORD)))
+    used = F.conv(F.rpad(part, 2 * _WORD, "20"), 16, 10).cast("bigint").bitwiseXOR(F.lit(_BLANK_WORD))
+    masks = words.groupBy("_word").agg(F.bit_or(used).alias("_bits"))
     positions = (
-        masks.select("_chunk", "_bits", F.explode(F.sequence(F.lit(0), F.lit(_CHUNK - 1))).alias("_i"))
-        .where(F.expr(f"(shiftright(_bits, {_CHUNK - 1} - _i) & 1) = 1"))
-        .select((F.col("_chunk") * _CHUNK + F.col("_i")).alias("_pos"))
+        masks.select("_word", "_bits", F.explode(F.sequence(F.lit(0), F.lit(_WORD - 1))).alias("_byte"))
+        .where(F.expr(f"(shiftright(_bits, 8 * ({_WORD - 1} - _byte)) & 255) != 0"))
+        .select((F.col("_word") * _WORD + F.col("_byte")).alias("_pos"))
     )
     # one row per used position of a line: the group is as small as a line is long
     in_line = Window.partitionBy(F.lit(1)).orderBy("_pos")

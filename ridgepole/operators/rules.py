@@ -1,7 +1,7 @@
 """Cleaning rules as data.
 
 A rule names the columns it touches and says how one value changes.  ``apply_rules``
-runs a list of rules in order but emits a single projection, so a table with dozens of
+runs a list of rules in order as a few stacked projections, so a table with dozens of
 rules still costs one narrow stage: no shuffle, all inside generated code.
 Columns a rule names but the table lacks are passed over.
 """
@@ -95,7 +95,7 @@ class NullIfIn(Rule):
     codes: Sequence[float]
 
     def change(self, value, row, data_type):
-        number = value.try_cast("double") if data_type == "string" else value
+        number = text.number_or_null(value) if data_type == "string" else value
         return F.when(number.isin(*self.codes), None).otherwise(value)
 
 
@@ -115,20 +115,33 @@ def sentinels(table: Mapping[str, Sequence[float]]) -> list[Rule]:
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule], drop: Sequence[str] = ()) -> DataFrame:
-    """Run ``rules`` in order and drop columns, as one projection."""
-    state: dict[str, Column] = {name: cols.col(name) for name in df.columns}
-    types = dict(df.dtypes)
+    """Run ``rules`` in order and drop columns.
+
+    Rules on different columns share one projection.  A further rule on the same column
+    starts the next one, which keeps its input from being written out (and computed)
+    once per mention; the projections still run as one narrow stage.
+    """
     spelled = {text.collapsed(name): name for name in reversed(df.columns)}
+    state: dict[str, Column] = {}
 
     def row(name: str) -> Column:
-        if name not in state:
+        if name not in df.columns:
             raise ValueError(f"a rule needs column {name!r}, which the table lacks: {df.columns}")
-        return state[name]
+        return state.get(name, cols.col(name))
+
+    def flush() -> None:
+        nonlocal df
+        if state:
+            df = df.select(*[row(name).alias(name) for name in df.columns])
+            state.clear()
 
     for rule in rules:
         for wanted in rule.columns:
-            name = wanted if wanted in state else spelled.get(text.collapsed(wanted))
-            if name is not None:
-                state[name] = rule.change(state[name], row, types[name])
-    kept = [name for name in df.columns if name not in set(drop)]
-    return df.select(*[state[name].alias(name) for name in kept])
+            name = wanted if wanted in df.columns else spelled.get(text.collapsed(wanted))
+            if name is None:
+                continue
+            if name in state:
+                flush()
+            state[name] = rule.change(cols.col(name), row, dict(df.dtypes)[name])
+    gone = set(drop)
+    return df.select(*[row(name).alias(name) for name in df.columns if name not in gone])

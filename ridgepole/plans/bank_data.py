@@ -18,6 +18,7 @@ from ridgepole.operators.prune import recent_subset
 from ridgepole.operators.rules import apply_rules
 from ridgepole.operators.union import union_relaxed
 from ridgepole.plans import rule_tables
+from ridgepole.session import tune
 from ridgepole.sources import files, sinks, tables
 
 
@@ -51,7 +52,7 @@ class BankData:
     """Acquisitions (one CSV per year) and members (one exported sheet per quarter)."""
 
     def __init__(self, spark: SparkSession) -> None:
-        self.spark = spark
+        self.spark = tune(spark)
 
     # --- acquisitions ---
 

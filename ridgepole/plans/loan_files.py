@@ -26,6 +26,7 @@ from ridgepole.operators.resolve import dictionary_catalog, pending_files, resol
 from ridgepole.operators.rules import apply_rules
 from ridgepole.operators.union import common_type, union_relaxed
 from ridgepole.plans import rule_tables
+from ridgepole.session import tune
 from ridgepole.sources import archives, files, sinks, tables
 from ridgepole.sources.text_lines import read_lines
 
@@ -69,7 +70,7 @@ def yearly_income_sources(name: str, first_year: int, last_year: int) -> list[st
 
 class LoanFiles:
     def __init__(self, spark: SparkSession, data: DataPaths, options: LoadOptions | None = None) -> None:
-        self.spark = spark
+        self.spark = tune(spark)
         self.data = data
         self.options = options or LoadOptions()
 

@@ -8,12 +8,27 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# The virtual machine never compiles a method of more than 8,000 bytes of code.  A record
+# of dozens of fields fused into one method would run interpreted, an order of magnitude
+# slower; under this limit such a stage uses its split-up form, which gets compiled.
+_SMALL_METHODS = ("spark.sql.codegen.hugeMethodLimit", "65535", "8000")
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings for wide records; a value the user chose stays."""
+    key, default, wanted = _SMALL_METHODS
+    if spark.conf.get(key) == default:
+        spark.conf.set(key, wanted)
+    return spark
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks; a cluster brings its own."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("ridgepole")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
@@ -22,7 +37,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return tune(spark)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -19,18 +19,21 @@ _CHARSETS = {
 }
 
 
-def _decoded(lines: DataFrame, encoding: str) -> DataFrame:
+def _lines(lines: DataFrame, encoding: str) -> DataFrame:
     charset = _CHARSETS.get(encoding.lower())
     if charset is None:
         raise ValueError(f"unsupported line encoding {encoding!r}; known: {sorted(_CHARSETS)}")
     # the text source hands over the bytes of a line untouched
-    value = F.col("value") if charset == "UTF-8" else F.decode(F.col("value").cast("binary"), charset)
+    value = F.col("value") if charset == "UTF-8" else F.col("value").cast("binary")
     return lines.select(value.alias("value"), F.col("_metadata.file_path").alias("file_path"))
 
 
 def read_lines(spark: SparkSession, files: str | Sequence[str], encoding: str = "latin-1") -> DataFrame:
-    """Lines with the file they come from.  Plain files are split across tasks."""
-    return _decoded(spark.read.text(files), encoding)
+    """Lines with the file they come from.  Plain files are split across tasks.
+
+    Lines of a single-byte encoding stay bytes, to be cut by offset before decoding.
+    """
+    return _lines(spark.read.text(files), encoding)
 
 
 def stream_lines(
@@ -40,4 +43,4 @@ def stream_lines(
     reader = spark.readStream.option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _decoded(reader.text(folder), encoding)
+    return _lines(reader.text(folder), encoding)

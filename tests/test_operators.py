@@ -76,11 +76,11 @@ def test_strict_union_refuses_drift(spark):
 # --- rules ---
 
 
-def test_rules_run_in_order_in_one_projection(spark):
+def test_rules_run_in_order_in_one_stage(spark):
     df = spark.createDataFrame([(2018, 0.5, 2), (2019, 50.0, 2), (None, 1.0, 1)], "Year int, p double, q int")
     out = apply_rules(df, [Scale(("p", "absent"), 100, before("Year", 2019)), NullIfIn(("p",), [50])], drop=("Year",))
     assert rows(out) == [(None, 2), (None, 2), (1.0, 1)]
-    assert out._jdf.queryExecution().optimizedPlan().toString().count("Project") == 1
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.dtypes == [("p", "double"), ("q", "int")]
 
 
@@ -186,6 +186,16 @@ def test_zero_fill_never_cuts(spark):
     assert one(spark, lambda c: text.zero_fill(c, 3), "7") == "007"
 
 
+def test_number_tests(spark):
+    whole = {"7": True, "-7": True, "+7": True, "7.0": False, "x": False, "9" * 19: False, "9223372036854775807": True, "1D": False}
+    number = {"7": True, "7.5": True, ".5": True, "1e3": True, "x": False, "1D": False, "2f": False, "inf": True, "-Inf": True, "1 2": False}
+    for given, want in whole.items():
+        assert one(spark, text.looks_whole, given) is want, given
+    for given, want in number.items():
+        assert one(spark, text.looks_numeric, given) is want, given
+    assert one(spark, text.number_or_null, "9.5") == 9.5 and one(spark, text.number_or_null, "n/a") is None
+
+
 # --- headers ---
 
 
