@@ -39,14 +39,14 @@ LINE_ITEM = Layout.of(
 )
 
 
-def line_item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_item_lines(spark: SparkSession, sf_dir: str, as_bytes: bool = True) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").withColumns(
         {
             "l_extendedprice": F.col("l_extendedprice").cast("decimal(18,2)"),
             "l_shipdate": F.col("l_shipdate").cast("date"),
         }
     )
-    return format_lines(items, LINE_ITEM)
+    return format_lines(items, LINE_ITEM, as_bytes=as_bytes)
 
 
 @check(
@@ -92,7 +92,7 @@ def fixed_width_agg(spark, sf_dir):
 def fixed_width_load(spark, sf_dir):
     """Stored lines and a stored dictionary, loaded together as a job would."""
     root = scratch_dir(spark, "load")
-    line_item_lines(spark, sf_dir).write.text(f"{root}/lines.txt")
+    line_item_lines(spark, sf_dir, as_bytes=False).write.text(f"{root}/lines.txt")
     dictionary = [(i + 1, f.width, f" {f.name} ") for i, f in enumerate(LINE_ITEM.fields)]
     described = spark.createDataFrame(dictionary, "`Field #` int, `Field Width` int, `Field Name` string")
     sinks.write_table(described.coalesce(1), f"{root}/dictionary.csv", "csv")
@@ -138,7 +138,7 @@ def fixed_width_infer_types(spark, sf_dir):
     """Types read from all values: whole numbers (with blanks), decimals, text."""
     layout = Layout.of([("o_orderkey", 19), ("o_totalprice", 18), ("o_orderpriority", 20), ("o_custkey", 19)])
     orders = table(spark, sf_dir, "orders").withColumn("o_custkey", F.when(F.col("o_custkey") != 7, F.col("o_custkey")))
-    lines = format_lines(orders.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)")), layout)
+    lines = format_lines(orders.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)")), layout, as_bytes=True)
     return parse_lines_inferred(lines, layout)
 
 
@@ -165,7 +165,7 @@ def fixed_width_infer_layout(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumns(
         {"o_totalprice": F.col("o_totalprice").cast("decimal(18,2)"), "o_orderdate": F.col("o_orderdate").cast("date")}
     )
-    return column_spans(format_lines(orders, layout))
+    return column_spans(format_lines(orders, layout, as_bytes=True))
 
 
 def _labelled_parts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -146,11 +146,9 @@ def column_spans(lines: DataFrame, value: str = "value") -> DataFrame:
         # one byte per character; which character it was does not matter
         raw = F.encode(F.regexp_replace(F.translate(c, "\t", " "), "[^\\u0000-\\u00ff]", "x"), _LATIN)
     count = F.floor((F.octet_length("_raw") + (_WORD - 1)) / F.lit(_WORD)).cast("int")
-    words = (
-        lines.select(raw.alias("_raw"))
-        .where(F.octet_length("_raw") > 0)
-        .select("_raw", F.explode(F.sequence(F.lit(0), count - 1)).alias("_word"))
-    )
+    # no filter on empty lines here: it would be pushed down and compute the bytes twice
+    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1))
+    words = lines.select(raw.alias("_raw")).select("_raw", F.explode(numbers).alias("_word"))
     part = F.hex(F.substring(F.col("_raw"), F.col("_word") * _WORD + 1, F.lit(_WORD)))
     used = F.conv(F.rpad(part, 2 * _WORD, "20"), 16, 10).cast("bigint").bitwiseXOR(F.lit(_BLANK_WORD))
     masks = words.groupBy("_word").agg(F.bit_or(used).alias("_bits"))

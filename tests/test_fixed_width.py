@@ -108,6 +108,7 @@ def test_round_trip(spark, data):
     layout = Layout.of([("n", 10), ("t", 6)]).typed({"n": "bigint"})
     df = spark.createDataFrame(data, "n bigint, t string")
     assert rows(parse_lines(format_lines(df, layout), layout)) == rows(df)
+    assert rows(parse_lines(format_lines(df, layout, as_bytes=True), layout)) == rows(df)
 
 
 def test_dictionary_file(spark, tmp_path):
@@ -152,6 +153,8 @@ def test_spans_longer_than_a_chunk(spark):
     spans = rows(column_spans(lines(spark, *text)))
     assert sorted(p for s, w in spans for p in range(s, s + w)) == used
     assert sorted(spans) == [(0, 2), (72, 3), (77, 1), (131, 1)]
+    as_bytes = lines(spark, *text).select(F.encode("value", "ISO-8859-1").alias("value"))
+    assert sorted(rows(column_spans(as_bytes))) == sorted(spans)
     layout = infer_layout(lines(spark, *text), ["a", "b", "c", "d"])
     assert rows(parse_lines(lines(spark, text[0]), layout)) == [("ab", "xyz", "q", None)]
 
