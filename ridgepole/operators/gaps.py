@@ -50,18 +50,17 @@ def missing_preview(ranges: DataFrame, keys: Sequence[str], first: int = 20, out
     ``row_number() <= k`` is applied before the shuffle, so a key sends at most ``first``
     ranges per task.
     """
+    if not keys:
+        whole = ranges.withColumn("_all", F.lit(1))
+        return missing_preview(whole, ["_all"], first, out).drop("_all")
     k = [cols.col(x) for x in keys]
-    by_start = Window.partitionBy(*k).orderBy("gap_start") if keys else Window.partitionBy(F.lit(1)).orderBy("gap_start")
+    by_start = Window.partitionBy(*k).orderBy("gap_start")
     head = (
         ranges.withColumn("_r", F.row_number().over(by_start))
         .where(F.col("_r") <= first)
         .withColumn("gap_end", F.least("gap_end", F.col("gap_start") + (first - 1)))
     )
-    listed = F.slice(
-        F.sort_array(F.flatten(F.collect_list(F.sequence("gap_start", "gap_end")))), 1, first
-    )
+    listed = F.slice(F.sort_array(F.flatten(F.collect_list(F.sequence("gap_start", "gap_end")))), 1, first)
     shown = head.groupBy(*k).agg(listed.alias(out))
     counted = ranges.groupBy(*k).agg(F.sum(F.col("gap_end") - F.col("gap_start") + 1).alias("missing_count"))
-    if not keys:
-        return shown.crossJoin(counted)
     return shown.join(counted, list(keys))

@@ -26,7 +26,7 @@ from ridgepole.operators.resolve import dictionary_catalog, pending_files, resol
 from ridgepole.operators.rules import apply_rules
 from ridgepole.operators.union import common_type, union_relaxed
 from ridgepole.plans import rule_tables
-from ridgepole.session import tune
+from ridgepole.session import scratch_dir, tune
 from ridgepole.sources import archives, files, sinks, tables
 from ridgepole.sources.text_lines import read_lines
 
@@ -79,8 +79,8 @@ class LoanFiles:
     def unpack_archives(self, zip_folder: str) -> DataFrame:
         """Unpack text records under raw and dictionaries under dictionaries, by year.
 
-        Existing targets stay unless overwriting is on.  Returns target and bytes copied,
-        computed once when first used.
+        Existing targets stay unless overwriting is on.  The work is done here, once; the
+        result reports target and bytes of every file copied.
         """
         members = archives.routed_members(archives.list_members(self.spark, zip_folder))
         root = F.when(F.col("route") == "raw", F.lit(self.data.raw)).otherwise(F.lit(self.data.dictionaries))
@@ -97,7 +97,9 @@ class LoanFiles:
                 paths.base_name(F.col("path")).alias("base_name"),
             )
             targets = targets.join(present, ["route", "year", "base_name"], "left_anti")
-        return archives.unpack(targets)
+        # stored, so that looking at the report does not copy everything again
+        report = sinks.write_table(archives.unpack(targets), scratch_dir(self.spark, "unpacked") + "/report")
+        return self.spark.read.parquet(report)
 
     # --- dictionaries ---
 

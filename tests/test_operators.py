@@ -254,6 +254,13 @@ def test_gaps_against_brute_force(spark, block):
         assert r["missing"] == mine[:20] and r["missing_count"] == len(mine)
 
 
+def test_gap_preview_without_keys(spark):
+    df = spark.createDataFrame([(1,), (4,), (100,)], "n bigint")
+    got = missing_preview(missing_ranges(df, [], "n"), []).first()
+    assert got["missing"] == [2, 3, *range(5, 23)] and got["missing_count"] == 97
+    assert missing_numbers(missing_ranges(df, [], "n"), []).count() == 97
+
+
 def test_gaps_of_huge_numbers(spark):
     df = spark.createDataFrame([("a", 2**60), ("a", 2**60 + 3)], "k string, n bigint")
     assert [r[1] for r in missing_numbers(missing_ranges(df, ["k"], "n"), ["k"]).orderBy("missing").collect()] == [2**60 + 1, 2**60 + 2]
