@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,10 +21,11 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions: int = 8, scratch: str | None = None) -> SparkSession:
     """A session for tests and benchmarks; a cluster brings its own."""
+    builder = SparkSession.builder if scratch is None else SparkSession.builder.config("spark.checkpoint.dir", f"file://{scratch}")
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("ridgepole")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -41,13 +41,22 @@ def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder name for intermediate tables.
+    """A fresh folder name for intermediate tables, in a folder that every executor shares.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``, so what
-    is written there outlives any executor.  Only where that is unset (tests) is a
-    machine-local folder used.
+    That is the folder the cluster names in ``spark.checkpoint.dir``, else the warehouse.
+    A warehouse on the driver's own disk is refused when executors run elsewhere: the
+    parts they write there would be lost.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        return tempfile.mkdtemp(prefix=f"ridgepole-{label}-")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        if shared.startswith("file:") and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{shared.rstrip('/')}/ridgepole/{label}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this library on whatever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
