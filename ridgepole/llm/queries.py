@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgepole.llm import shards, sql
+from ridgepole.llm import packing, shards, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,4 +39,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in sequences of at most 1024, by the 50k byte-level BPE."""
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 ORACLE: dict[str, str] = dict(sql.ORACLE)
