@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridgepole.llm import packing, shards, sql
+from ridgepole.llm import counts, langid, mixing, near, packing, quotes, shards, sql
+from ridgepole.llm.common import stored
+from ridgepole.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +41,44 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.9 and more between all vectors, and one kept vector of each component."""
+    found = near.dedup(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of two ways to count: loaded as two batches, each replayed, after a revision.
+
+    The ids of the byte-level BPE are first booked without, then revised to include, the
+    separator that packing adds to each document.
+    """
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    words = docs.select("source", "lang", mixing.word_count(F.col("text")).alias("n_tokens"))
+    ids = stored(counts.count_tokens(docs.select("source", "lang", "text"), public_tokenizers.path("byte_bpe_50k.json")), "token-counts")
+    store = counts.Totals(spark, scratch_dir(spark, "totals"))
+    n = F.col("n_tokens")
+    for _ in range(2):
+        store.commit("load words", counts.inserted(words, "words"))
+        store.commit("load byte_bpe_50k", counts.inserted(ids, "byte_bpe_50k"))
+        store.commit("separators", counts.revised(ids, "byte_bpe_50k", old=n, new=n + 1))
+    return store.totals()
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the folds that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = langid.fit(docs.where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return langid.predict(rows, model, F.col("text")).select("doc_id", "held_out", "lang_pred", "score", "lang_mix")
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids in sequences of at most 1024, by the 50k byte-level BPE."""
@@ -47,4 +87,34 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document so that sources meet weights 5, 2, 1 in turn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(docs, F.col("doc_id"), F.col("source"), mixing.word_count(F.col("text")))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as mail: each reply quotes the turn before it, which quotes the one before.
+
+    Spark writes the quotes from the whole table; the operator has to find the parents,
+    strip the quotes and put the replies in order.
+    """
+    talk = table(spark, sf_dir, "conversations")
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    quoted = lambda text, marks: F.regexp_replace(text, "(?m)^", marks)
+    mail = talk.select(
+        "conv_id", "turn", "role",
+        F.concat_ws(
+            "\n",
+            quoted(F.lag("text", 1).over(order), "> "),
+            quoted(F.lag("text", 2).over(order), "> > "),
+            F.col("text"),
+        ).alias("text"),
+    )
+    return quotes.conversations(mail).select("conv_id", "turn", "role", "text", "parent_turn", "root_turn", "depth", "position")
+
+
 ORACLE: dict[str, str] = dict(sql.ORACLE)
