@@ -75,7 +75,8 @@ def targets(sources: DataFrame, weights: Sequence[float], limit: int) -> DataFra
         F.sum("weight").over(full.rowsBetween(0, Window.unboundedFollowing))
     )
     leveled = ranked.withColumn("_level", level).withColumn("_stops", F.col("source_size") * limit <= F.col("_level") * F.col("weight"))
-    common = F.coalesce(F.min(F.when(~F.col("_stops"), F.col("_level"))).over(everything), F.lit(0.0))
+    # the level that is left when the first source stays under its limit; it only falls behind that one
+    common = F.coalesce(F.max(F.when(~F.col("_stops"), F.col("_level"))).over(everything), F.lit(0.0))
     target = F.when(F.col("_stops"), (F.col("source_size") * limit).cast("double")).otherwise(common * F.col("weight"))
     return leveled.withColumn("target", target).drop("_level", "_stops")
 
@@ -120,7 +121,7 @@ def mix(
     by_cell = stored(rows.groupBy("_source", "_cell").agg(F.max("_origin").alias("source"), F.sum("size").alias("cell_size")), "mix-cells")
     sources = targets(by_cell.groupBy("_source").agg(F.max("source").alias("source"), F.sum("cell_size").alias("source_size")), weights, limit)
     schema = "_source string, source_size bigint, target double, block bigint, quota bigint"
-    quotas = sources.groupBy(F.lit(1)).applyInPandas(_by_source(limit, MOST_BLOCK), schema)
+    quotas = sources.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(_by_source(limit, MOST_BLOCK), schema)
     cell_rows_ = by_cell.select("_source", "_cell", "cell_size").join(quotas, "_source")
     schema = "_source string, _cell bigint, cell_size bigint, source_size bigint, target double, block bigint, quota bigint, words bigint"
     settled = cell_rows_.groupBy("_source").applyInPandas(_by_cell(limit), schema)
