@@ -41,3 +41,15 @@ def components(edges: DataFrame) -> DataFrame:
         before = sign
     found = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return found.union(found.select(F.col("component").alias("node"), "component").distinct())
+
+
+#: Rows of keys that may be sent to every task.
+FEW = 1 << 20
+
+
+def narrowed(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows whose key is among ``keys``: a broadcast where those are few, else a shuffle."""
+    keys = keys.distinct()
+    if keys.limit(FEW + 1).count() <= FEW:
+        keys = F.broadcast(keys)
+    return rows.join(keys, on, "left_semi")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridgepole.llm import counts, langid, mixing, near, packing, quotes, shards, sql
+from ridgepole.llm import counts, jaccard, langid, mixing, near, packing, quotes, shards, sql
 from ridgepole.llm.common import stored
 from ridgepole.session import scratch_dir
 
@@ -87,6 +87,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingles are 0.8 similar or more."""
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document so that sources meet weights 5, 2, 1 in turn."""
