@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,9 +51,25 @@ def components(edges: DataFrame) -> DataFrame:
 FEW = 1 << 20
 
 
-def narrowed(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+def narrowed(rows: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """The rows whose key is among ``keys``: a broadcast where those are few, else a shuffle."""
     keys = keys.distinct()
     if keys.limit(FEW + 1).count() <= FEW:
         keys = F.broadcast(keys)
     return rows.join(keys, on, "left_semi")
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """The rows of sorted batches, cut only where ``column`` changes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(column).to_numpy()
+        first = int(np.searchsorted(values, values[-1])) if values[0] <= values[-1] else 0
+        if first or (held and held[-1].column(column)[-1].as_py() != values[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, first)])
+            held = []
+        held.append(batch.slice(first))
+    if held:
+        yield pa.Table.from_batches(held)

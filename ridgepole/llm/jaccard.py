@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridgepole.llm import hashes, shingles
-from ridgepole.llm.common import components, narrowed, stored
+from ridgepole.llm.common import components, narrowed, stored, whole_runs
 
 #: A shingle in more prefixes than this is common.
 COMMON = 16
@@ -121,22 +121,6 @@ def _prefixes(common, percent: int):
     return run
 
 
-def whole_runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
-    """The rows of sorted batches, cut only where ``column`` changes."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        values = batch.column(column).to_numpy()
-        first = int(np.searchsorted(values, values[-1])) if values[0] <= values[-1] else 0
-        if first or (held and held[-1].column(column)[-1].as_py() != values[0]):
-            yield pa.Table.from_batches([*held, batch.slice(0, first)])
-            held = []
-        held.append(batch.slice(first))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by token, size, owner: members, stars, and the buckets of three and more."""
     for table in whole_runs(batches, "token"):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridgepole.llm import counts, jaccard, langid, mixing, near, packing, quotes, shards, sql
+from ridgepole.llm import counts, jaccard, langid, mixing, near, packing, quotes, repeats, shards, sql
 from ridgepole.llm.common import stored
 from ridgepole.session import scratch_dir
 
@@ -93,6 +93,13 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 200-byte strings that occur twice."""
+    found = repeats.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document so that sources meet weights 5, 2, 1 in turn."""
