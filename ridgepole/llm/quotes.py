@@ -85,17 +85,19 @@ def links(messages: DataFrame) -> DataFrame:
 
 
 def _roots(nodes: DataFrame) -> DataFrame:
-    """Add ``root_turn`` and ``depth`` to nodes with a ``parent_turn``, by pointer doubling."""
-    far = F.coalesce("parent_turn", "_turn")
-    now = stored(nodes.select("_thread", "_turn", "parent_turn", far.alias("root_turn"), F.col("parent_turn").isNotNull().cast("bigint").alias("depth")), "roots")
-    while True:
-        up = now.select(F.col("_thread").alias("_t"), F.col("_turn").alias("_k"), F.col("root_turn").alias("_next"), F.col("depth").alias("_more"))
-        step = now.join(up, (F.col("_thread") == F.col("_t")) & (F.col("root_turn") == F.col("_k")))
-        step = step.select("_thread", "_turn", "parent_turn", F.col("_next").alias("root_turn"), (F.col("depth") + F.col("_more")).alias("depth"), (F.col("_more") > 0).alias("_moved"))
-        step = stored(step, "roots")
-        now = step.drop("_moved")
-        if step.where("_moved").isEmpty():
-            return now
+    """Add ``root_turn`` and ``depth`` to nodes with a ``parent_turn``, by pointer doubling.
+
+    Only nodes that do not point at a root yet take part in a round.
+    """
+    far, is_root = F.coalesce("parent_turn", "_turn"), F.col("parent_turn").isNull()
+    now = nodes.select("_thread", "_turn", "parent_turn", far.alias("root_turn"), (~is_root).cast("bigint").alias("depth"), is_root.alias("_done"))
+    now = stored(now, "roots")
+    while not now.where("not _done").isEmpty():
+        up = now.select(F.col("_thread").alias("_t"), F.col("_turn").alias("_k"), F.col("root_turn").alias("_next"), F.col("depth").alias("_more"), F.col("_done").alias("_ends"))
+        step = now.where("not _done").join(up, (F.col("_thread") == F.col("_t")) & (F.col("root_turn") == F.col("_k")))
+        moved = step.select("_thread", "_turn", "parent_turn", F.col("_next").alias("root_turn"), (F.col("depth") + F.col("_more")).alias("depth"), F.col("_ends").alias("_done"))
+        now = stored(now.where("_done").union(moved), "roots")
+    return now.drop("_done")
 
 
 def conversations(messages: DataFrame, thread: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
