@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridgepole.llm import counts, jaccard, langid, mixing, near, packing, quotes, repeats, shards, sql
+from ridgepole.llm import counts, forest, jaccard, langid, mixing, near, packing, quotes, repeats, shards, sql
 from ridgepole.llm.common import stored
 from ridgepole.session import scratch_dir
 
@@ -25,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products that the forest finds for every twentieth vector."""
+    return forest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of 16, its slot there, and its shard if there were 17."""
