@@ -51,12 +51,19 @@ def components(edges: DataFrame) -> DataFrame:
 FEW = 1 << 20
 
 
+def _sized(keys: DataFrame) -> DataFrame:
+    keys = keys.distinct()
+    return F.broadcast(keys) if keys.limit(FEW + 1).count() <= FEW else keys
+
+
 def narrowed(rows: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """The rows whose key is among ``keys``: a broadcast where those are few, else a shuffle."""
-    keys = keys.distinct()
-    if keys.limit(FEW + 1).count() <= FEW:
-        keys = F.broadcast(keys)
-    return rows.join(keys, on, "left_semi")
+    return rows.join(_sized(keys), on, "left_semi")
+
+
+def without(rows: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
+    """The rows whose key is not among ``keys``; null keys stay."""
+    return rows.join(_sized(keys), on, "left_anti")
 
 
 def whole_runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
