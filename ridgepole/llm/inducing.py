@@ -2,7 +2,8 @@
 
 The suffixes of a text are sorted from the S* suffixes (smaller than the suffix to their
 right, to the right of a larger one).  The substrings between S* positions are sorted and
-named, and the text of names, at most half as long, is sorted by recursion.  Then two
+named, and the text of names, at most half as long, is sorted by recursion, until it fits
+into memory and is sorted there by doubling.  Then two
 scans induce the rest: upwards the suffixes larger than their right neighbour, downwards
 the smaller ones.  A scan takes suffix tuples (position, common prefix with the tuple
 before, length of the run of its first symbol) in order from a queue and puts the suffix
@@ -299,6 +300,32 @@ class _Sequence:
         return out
 
 
+def _doubled(names: np.ndarray, distinct: int) -> np.ndarray:
+    """Suffixes of a text in memory in order, by doubling the length they are sorted by."""
+    n = len(names)
+    rank = np.asarray(names).astype(np.int64)
+    starts = np.cumsum(np.bincount(rank, minlength=distinct))
+    rank = np.concatenate([[0], starts[:-1]])[rank]  # how many suffixes are sure to come before
+    live = np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)
+    reach = 1
+    while len(live):
+        ahead = live + reach
+        second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)], -1)
+        order = np.lexsort((second, rank[live]))
+        at, first, second = live[order], rank[live][order], second[order]
+        group = np.append(True, first[1:] != first[:-1])
+        turn = group | np.append(True, second[1:] != second[:-1])
+        place = np.arange(len(at))
+        offset = place - place[group][np.cumsum(group) - 1]
+        rank[at] = first + offset[turn][np.cumsum(turn) - 1]
+        sizes = np.diff(np.append(np.flatnonzero(turn), len(at)))
+        live = at[np.repeat(sizes > 1, sizes)]
+        reach *= 2
+    out = np.empty(n, np.int64)
+    out[rank] = np.arange(n)
+    return out
+
+
 def sorted_suffixes(disk: Disk, text: np.ndarray, sigma: int, cap: int, emit) -> None:
     """Call ``emit(positions, common prefixes)`` batch by batch, from the largest suffix to the smallest.
 
@@ -316,6 +343,10 @@ def sorted_suffixes(disk: Disk, text: np.ndarray, sigma: int, cap: int, emit) ->
     if distinct == m:
         order[names] = np.arange(m)
         common[:] = 0
+    elif m <= IN_MEMORY:
+        order[:] = _doubled(names, distinct)
+        common[0] = 0
+        common[1:] = _common(names, order[:-1], order[1:], np.zeros(m - 1, np.int64), cap)
     else:
         filled = m
 

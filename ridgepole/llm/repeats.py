@@ -35,9 +35,9 @@ from ridgepole.llm import hashes, inducing
 from ridgepole.llm.common import FEW, narrowed, stored, whole_runs
 
 LENGTH = 200
-KMER = 32
+KMER = 64
 #: Bytes of pieces that a shard is meant to hold.
-SHARD = 4 << 20
+SHARD = 3 << 19
 #: Bytes of texts that a task works on at a time.
 BYTES = 1 << 20
 _PLACE_BITS = 24
