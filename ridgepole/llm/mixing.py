@@ -55,7 +55,7 @@ def sainte_lague(votes: np.ndarray, seats: int, caps: np.ndarray | None = None)
     for _ in range(200):
         middle = (low + high) / 2
         low, high = (low, middle) if given(middle).sum() <= seats else (middle, high)
-    out = given(high)
+    out = given(high * (1 + 1e-9))  # a hair above, so that no tie is settled by rounding
     while (left := seats - int(out.sum())) > 0:
         quotient = np.where(out < caps, votes / (2 * out + 1), -1.0)
         out[np.argsort(-quotient, kind="stable")[: min(left, int((out < caps).sum()))]] += 1

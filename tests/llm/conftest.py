@@ -1,0 +1,41 @@
+import pytest
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, slot string, score string, a string"
+LONG = " ".join(f"word{i % 977} filler{i}" for i in range(60_000))  # about a megabyte
+PASSAGE = "This passage of some length stands in several of the documents, word by word, and is therefore taken out of all of them, whatever else they say before it or after it; it has more than two hundred bytes, as is easy to see."
+
+ROWS = [
+    (1, "The quick brown fox jumps over the lazy dog and runs away into the green wood.", "en", "a"),
+    (2, "The quick brown fox jumps over the lazy dog and runs away into the green wood.", "en", "a"),
+    (2, "The quick brown fox jumps over the lazy dog and runs away into the green wood.", "en", "a"),
+    (3, None, None, None),
+    (4, "", "de", "b"),
+    (5, " \n\t ", "de", "b"),
+    (6, "1234 5678 !!!", None, "a"),
+    (7, "Der schnelle braune Fuchs springt über den faulen Hund und läuft in den Wald. " + PASSAGE, "de", "b"),
+    (8, PASSAGE + " Le renard brun saute par-dessus le chien paresseux et court vers la forêt.", "fr", None),
+    (9, LONG, "en", "c"),
+    (10, LONG + " one more end", "en", "c"),
+    (11, "two words", "en", "a"),
+    (12, "Two WORDS", "en", "a"),
+    (None, "A document without an id that still has some words to say.", "en", "a"),
+    (None, None, None, None),
+    (13, "\x00 odd \x00 bytes é中\U0001f600 here", "en", "d"),
+    (14, "ab" * 900, "en", "d"),
+]
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Documents with nulls, empty and long texts, repeated rows, and columns named like added ones."""
+    return spark.createDataFrame([(*r, None if r[1] is None else len(r[1]), "s", None, "x", "y") for r in ROWS], DOCS).repartition(3).cache()
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="session")
+def docs(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
