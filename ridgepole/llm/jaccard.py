@@ -1,7 +1,7 @@
 """Jaccard join of documents on five-word shingles by grouped prefixes.
 
 Documents of equal shingle sets are one class.  Shingles have one global order: those that
-many prefixes hold come last, all others by hash.  Two sets of Jaccard similarity t share
+many prefixes hold come last, the rarer before the more frequent, all others by hash.  Two sets of Jaccard similarity t share
 a shingle among the first ``n - ceil(t n) + 1`` of each, so classes with the same prefix
 and size are collapsed into one group, and groups are brought together by the shingles of
 their prefixes.
@@ -9,9 +9,11 @@ their prefixes.
 Links are verified exactly, in two rounds, so that a group of thousands of near copies
 does not become all its pairs.  Round one expands each group, and each shingle's groups,
 to a star around one member of each size.  Round two takes every shingle and group whose
-members are still in different components and expands all pairs across components that
-their sizes allow.  A candidate pair that is left out lies inside one component, so
-components are complete.
+members are still in different components: ``FEW_MEMBERS`` or fewer are expanded to their
+pairs across components; larger ones are joined to clusters, which are cut into blocks by
+size, and a task compares two blocks by products of their incidence matrices and hands on
+a spanning forest of the links.  A candidate pair that is left out lies inside one
+component, so components are complete.
 
 The common shingles are the ``MOST_COMMON`` most frequent ones at most: their order only
 decides how many candidates there are, never which links are found.
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgepole.llm import hashes, shingles
+from ridgepole.llm import hashes, shingles, vectors
 from ridgepole.llm.common import components, narrowed, stored, whole_runs
 
 #: A shingle in more prefixes than this is common.
@@ -39,6 +41,10 @@ COMMON = 16
 MOST_COMMON = 1 << 20
 #: Partners that one group of rows compares with a pivot.
 PARTNERS = 512
+#: Members of a shingle that are expanded to pairs; shingles and texts of a block of a larger one.
+FEW_MEMBERS = 8
+BLOCK_SHINGLES = 100_000
+BLOCK_TEXTS = 512
 
 _MEMBER, _GROUPS, _CLASSES, _BUCKET = 0, 1, 2, 3
 
@@ -84,7 +90,7 @@ def _prefixes(common, percent: int):
     """Rows of groups by shingle (kind 0) and of classes by group (kind 1), each once for a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = common.value
+        late, frequency = common.value
         classes: set[int] = set()
         groups: set[int] = set()
         for batch in batches:
@@ -99,7 +105,8 @@ def _prefixes(common, percent: int):
                         at = np.searchsorted(late, s)
                         at[at == len(late)] = 0
                         is_late = late[at] == s
-                        s_ordered = np.concatenate([s[~is_late], s[is_late]]) if is_late.any() else s
+                        last = s[is_late][np.argsort(frequency[at[is_late]], kind="stable")]
+                        s_ordered = np.concatenate([s[~is_late], last])
                     else:
                         s_ordered = s
                     head = s_ordered[: _prefix_length(len(s), percent)].view(np.int64)
@@ -197,6 +204,86 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(_verify(percent), "a bigint, b bigint")
 
 
+def _clusters(crowd: DataFrame) -> DataFrame:
+    """``key, n, label, cluster`` of classes that share large shingles, directly or through others."""
+    spokes = crowd.where("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b"))
+    cluster = components(spokes)
+    return crowd.select("key", "n", "label").distinct().join(cluster, F.col("key") == F.col("node")).select("key", "n", "label", F.col("component").alias("cluster"))
+
+
+def _blocks(crowd: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links across components inside clusters.
+
+    Sizes fall into classes a factor 1 / t apart, so similar texts lie in one class or in
+    neighbouring ones, and blocks of a class meet those of the same and the next class.
+    """
+    size = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent)))).cast("bigint")
+    sized = crowd.withColumn("size", size)
+    parts = sized.groupBy("cluster", "size").agg(
+        F.greatest(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)), F.ceil(F.count("*") / F.lit(BLOCK_TEXTS))).alias("parts")
+    )
+    at = lambda step: parts.select("cluster", (F.col("size") - step).alias("size"), F.col("parts").alias(f"parts{step}".replace("-", "_")))
+    placed = sized.join(at(0), ["cluster", "size"]).join(at(1), ["cluster", "size"], "left").join(at(-1), ["cluster", "size"], "left")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("key"), F.col("parts0")))
+    meets = lambda name, side, low, high: F.transform(
+        F.when(F.col(name).isNull(), F.array().cast("array<bigint>")).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col(name) - 1)),
+        lambda other: F.struct(F.xxhash64("cluster", *low(other), *high(other)).alias("pair"), side(other).alias("side")),
+    )
+    own, mine = F.col("size"), F.col("block")
+    same = meets("parts0", lambda o: (o < mine).cast("int"), lambda o: (own, F.least(mine, o)), lambda o: (own, F.greatest(mine, o)))
+    above = meets("parts1", lambda o: F.lit(0), lambda o: (own, mine), lambda o: (own + 1, o))
+    below = meets("parts_1", lambda o: F.lit(1), lambda o: (own - 1, o), lambda o: (own, mine))
+    dealt = placed.select("key", "label", F.explode(F.concat(same, above, below)).alias("p")).select("p.pair", "p.side", "key", "label")
+    rows = dealt.join(texts.select("key", "text"), "key")
+    tasks = int(crowd.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_rows = rows.select("pair", "side", "key", "label", "text").repartition(tasks, "pair").sortWithinPartitions("pair", "side", "key")
+    return sorted_rows.mapInArrow(_compare(percent), "a bigint, b bigint")
+
+
+def common_counts(sets: list[np.ndarray], others: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all sets with all others, by products of incidence matrices."""
+    owner = np.repeat(np.arange(len(sets) + len(others)), [len(s) for s in [*sets, *others]])
+    values, place, count = np.unique(np.concatenate([*sets, *others]), return_inverse=True, return_counts=True)
+    column = np.cumsum(count > 1) - 1
+    shared = count[place] > 1
+    owner, column = owner[shared], column[place[shared]]
+    out = np.zeros((len(sets), len(others)), np.float32)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        a, b = np.searchsorted(column, [low, low + columns])
+        part = np.zeros((len(sets) + len(others), columns), np.float32)
+        part[owner[a:b], column[a:b] - low] = 1
+        out += part[: len(sets)] @ part[len(sets) :].T
+    return out
+
+
+def _compare(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Two blocks at a time (or one with itself), sorted by pair and side."""
+        for table in whole_runs(batches, "pair"):
+            pair, side, key, label = (table.column(c).to_numpy() for c in ("pair", "side", "key", "label"))
+            turn = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else []
+            for first, last in zip(turn, np.append(turn[1:], len(pair))):
+                split = first + int((side[first:last] == 0).sum())
+                sets = shingles.sets(_bytes(table.column("text").slice(first, last - first)))
+                left = (first, split)
+                right = (split, last) if split < last else left
+                if left[0] == left[1]:
+                    continue
+                mine, theirs = sets[: split - first], sets[right[0] - first : right[1] - first]
+                both = common_counts(mine, theirs)
+                n, m = np.array([len(s) for s in mine]), np.array([len(s) for s in theirs])
+                hit = (100 * both >= percent * (n[:, None] + m[None, :] - both)) & (label[left[0] : left[1], None] != label[None, right[0] : right[1]])
+                i, j = np.nonzero(hit)
+                if len(i):
+                    root = vectors.forest(last - first, i, j + right[0] - first)
+                    moved = np.flatnonzero(root != np.arange(last - first))
+                    yield pa.RecordBatch.from_arrays([pa.array(key[first + root[moved]]), pa.array(key[first + moved])], names=["a", "b"])
+
+    return run
+
+
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (least doc_id reachable by links) of every row."""
     spark = docs.sparkSession
@@ -205,8 +292,10 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     sized = stored(rows.mapInArrow(_sizes(percent), "doc_id bigint, n bigint, key bigint, head array<bigint>"), "jaccard-sizes")
 
     counted = sized.where("head is not null").select(F.explode("head").alias("token")).groupBy("token").count().where(F.col("count") > COMMON)
-    common = counted.orderBy(F.col("count").desc(), "token").limit(MOST_COMMON).select("token").toArrow().column("token").to_numpy()
-    late = spark.sparkContext.broadcast(np.sort(common.view(np.uint64)))
+    common = counted.orderBy(F.col("count").desc(), "token").limit(MOST_COMMON).select("token", "count").toArrow()
+    values = common.column("token").to_numpy().view(np.uint64)
+    by_value = np.argsort(values)
+    late = spark.sparkContext.broadcast((values[by_value], common.column("count").to_numpy()[by_value]))
 
     emitted = rows.select("text").mapInArrow(_prefixes(late, percent), "token bigint, owner bigint, n bigint, kind bigint")
     dealt = emitted.repartition(max(tasks, 1), "token").sortWithinPartitions("token", "n", "owner")
@@ -237,14 +326,17 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     of = stored(of, "jaccard-members")
     buckets = kind(_BUCKET).select(F.col("x").alias("token"), F.col("y").alias("g")).join(of, "g").select("token", "key", "n", "label")
     buckets = stored(buckets.union(of.select(F.col("g").alias("token"), "key", "n", "label")), "jaccard-buckets")
-    torn = buckets.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    open_rows = buckets.join(torn, "token", "left_semi")
-    one = open_rows.select("token", F.col("key").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    two = open_rows.select("token", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+    torn = buckets.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many"), F.min("key").alias("lead")).where("low < high")
+    open_rows = stored(buckets.join(torn.select("token", "many", "lead"), "token"), "jaccard-open")
+    few = open_rows.where(F.col("many") <= FEW_MEMBERS)
+    one = few.select("token", F.col("key").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+    two = few.select("token", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
     near_size = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (F.col("la") < F.col("lb"))
     pairs = one.join(two, "token").where(near_size).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = stored(pairs.join(stars, ["a", "b"], "left_anti"), "jaccard-round")
-    more = stored(verify(rest, texts_of(rest), percent), "jaccard-links")
+    crowd = stored(_clusters(open_rows.where(F.col("many") > FEW_MEMBERS)), "jaccard-clusters")
+    texts = texts_of(rest.union(crowd.select(F.col("key").alias("a"), F.col("key").alias("b"))))
+    more = stored(verify(rest, texts, percent).union(_blocks(crowd, texts, percent)), "jaccard-links")
     if not more.isEmpty():
         labels = stored(components(linked.union(more)), "jaccard-labels")
 
