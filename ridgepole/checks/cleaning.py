@@ -272,7 +272,8 @@ def century_fix(spark, sf_dir):
 
 @check(
     """
-    select o_orderkey, o_totalprice as "Local Area Median Income",
+    select o_orderkey, case when o_orderstatus = 'O' and year(o_orderdate) < 1995 then o_totalprice + 1
+                            when year(o_orderdate) >= 1995 or o_orderpriority = '1-URGENT' then o_totalprice end as "Local Area Median Income",
            case when o_orderstatus = 'F' then o_custkey
                 when year(o_orderdate) >= 1999 then cast(o_orderkey as bigint) end as "Area Median Family Income"
     from orders
@@ -284,6 +285,9 @@ def coalesce_year_columns(spark, sf_dir):
     tagged = {f"{y} Local Area Median Income": F.when(year == y, F.col("o_totalprice")) for y in range(1995, 2003)}
     tagged["Area Median Family Income (1996)"] = F.when(F.col("o_orderstatus") == "F", F.col("o_custkey"))
     tagged["1999 Area Median Family Income"] = F.when(year >= 1999, F.col("o_orderkey"))
+    # some years spell the field plainly
+    plain = F.when((F.col("o_orderstatus") == "O") & (year < 1995), F.col("o_totalprice") + 1).when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice"))
+    tagged["Local Area Median Income"] = plain
     df = table(spark, sf_dir, "orders").select("o_orderkey", *[c.alias(n) for n, c in tagged.items()])
     for income in ("Local Area Median Income", "Area Median Family Income"):
         df = fill_from_yearly(df, income, yearly_income_sources(income, 1995, 2002))

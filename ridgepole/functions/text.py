@@ -80,7 +80,7 @@ def looks_whole(c: Column) -> Column:
     return F.when(_number_start(c) & ~c.contains("."), c.try_cast("bigint").isNotNull()).otherwise(False)
 
 
-def _plain_number(c: Column) -> Column:
+def plain_number(c: Column) -> Column:
     """No type suffix: a cast would read codes like ``1D`` and ``2F`` as numbers."""
     return ~F.right(c, F.lit(1)).isin("d", "D", "f", "F")
 
@@ -88,12 +88,12 @@ def _plain_number(c: Column) -> Column:
 def looks_numeric(c: Column) -> Column:
     """True for text that reads as a number, infinity included."""
     infinite = F.lower(c).isin("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
-    return F.when(_number_start(c) & _plain_number(c), c.try_cast("double").isNotNull()).otherwise(infinite)
+    return F.when(_number_start(c) & plain_number(c), c.try_cast("double").isNotNull()).otherwise(infinite)
 
 
 def number_or_null(c: Column) -> Column:
     """Lenient double from text."""
-    return F.when(_number_start(c) & _plain_number(c), c).try_cast("double")
+    return F.when(_number_start(c) & plain_number(c), c).try_cast("double")
 
 
 def whole_number(c: Column, what: str = "value") -> Column:

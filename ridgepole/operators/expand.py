@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgepole import session
 from ridgepole.functions import text
 from ridgepole.operators import columns as cols
 
@@ -14,13 +15,16 @@ PIECE = 1 << 16
 def explode_range(df: DataFrame, start: str, end: str, out: str, *, spread: bool = False) -> DataFrame:
     """One row per whole number in ``[start, end]``; reversed or null ranges give none.
 
-    A range is first cut into pieces, so no single array grows with the data;
+    A range is cut into pieces of pieces, so no single array grows with the data;
     ``spread`` hands the pieces to different tasks.
     """
     s, e = cols.col(start).cast("bigint"), cols.col(end).cast("bigint")
-    pieces = df.where(s.isNotNull() & (e >= s)).select("*", F.explode(F.sequence(s, e, F.lit(PIECE).cast("bigint"))).alias("_low"))
+    step = F.lit(PIECE).cast("bigint")
+    large = df.where(s.isNotNull() & (e >= s)).select("*", F.explode(F.sequence(s, e, step * step)).alias("_from"))
+    upto = F.least(F.col("_from") + (step * step - 1), e)
+    pieces = large.select("*", F.explode(F.sequence(F.col("_from"), upto, step)).alias("_low"))
     if spread:
-        pieces = pieces.repartition(F.col("_low"))
+        pieces = session.spread(pieces, F.col("_low"))
     numbers = F.sequence(F.col("_low"), F.least(F.col("_low") + (PIECE - 1), e))
     return pieces.select(*[cols.col(n) for n in df.columns], F.explode(numbers).alias(out))
 

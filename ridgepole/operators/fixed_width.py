@@ -32,7 +32,10 @@ def _number(part: Column, field: Field, missing: tuple[str, ...]) -> Column:
 
     Blank fields are common and a failing cast is dear, so they never reach the cast.
     """
-    value = F.when(~part.isin("", " " * field.width), part).try_cast(field.type)
+    given = ~part.isin("", " " * field.width)
+    if field.type in ("double", "float"):
+        given &= text.plain_number(F.rtrim(part))
+    value = F.when(given, part).try_cast(field.type)
     if field.type in ("double", "float") and "NaN" in missing:
         return F.nanvl(value, F.lit(None).cast(field.type))
     return value
@@ -66,6 +69,8 @@ def parse_lines(
         if field.name in direct:
             return _number(c, field, missing)
         given = F.when(~c.isin("", *missing), c)
+        if field.type in ("double", "float"):
+            given = F.when(text.plain_number(given), given)
         return given if field.type == "string" else given.try_cast(field.type)
 
     kept = [cols.col(k) for k in keep]

@@ -31,11 +31,15 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str
     return {n: _KINDS[row[i] or 0] for i, n in enumerate(names)}
 
 
+def _lenient(c: Column, kind: str) -> Column:
+    return F.when(text.plain_number(c), c).try_cast(kind) if kind in ("double", "float") else c.try_cast(kind)
+
+
 def with_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Lenient casts: text that does not fit becomes null."""
     return df.select(
         *[
-            cols.col(n).try_cast(types[n]).alias(n) if n in types and types[n] != "string" else cols.col(n)
+            _lenient(cols.col(n), types[n]).alias(n) if n in types and types[n] != "string" else cols.col(n)
             for n in df.columns
         ]
     )

@@ -32,9 +32,11 @@ def tract_key_by_vintage(
 def fill_from_yearly(df: DataFrame, target: str, sources: Sequence[str]) -> DataFrame:
     """Collapse year-tagged columns into ``target`` (first non-null wins) and drop them.
 
-    Absent sources are passed over.  With none present the target is all null.
+    Absent sources are passed over.  A target that is there already keeps its values where
+    no source has one; with neither sources nor target it is all null.
     """
-    found = [n for n in (cols.find_column(df, [s]) for s in sources) if n is not None]
-    filled = F.coalesce(*[cols.col(n) for n in found]) if found else F.lit(None).cast("double")
+    found = [n for n in (cols.find_column(df, [s]) for s in sources) if n is not None and n != target]
+    values = [cols.col(n) for n in [*found, *([target] if target in df.columns else [])]]
+    filled = F.coalesce(*values) if values else F.lit(None).cast("double")
     rest = [cols.col(n) for n in df.columns if n not in set(found) and n != target]
     return df.select(*rest, filled.alias(target))

@@ -13,9 +13,6 @@ from ridgepole.functions import text
 from ridgepole.operators import columns as cols
 from ridgepole.operators.running import BLOCK, Total, running_totals
 
-# A record description is hand-made; anything longer is a data table given by mistake.
-MOST_FIELDS = 10_000
-
 
 @dataclass(frozen=True)
 class Field:
@@ -118,10 +115,11 @@ def describe_fields(
 
 
 def collect_layout(df: DataFrame, order: str, separator_width: int = 1) -> Layout:
-    """Bring the fields of one record description to the driver (its size is checked)."""
-    rows = df.orderBy(order).limit(MOST_FIELDS + 1).collect()
-    if len(rows) > MOST_FIELDS:
-        raise ValueError(f"a layout of more than {MOST_FIELDS} fields is not a data dictionary")
+    """Bring the fields of one record description to the driver.
+
+    They become the plan's own columns, so they are as many as the table is wide.
+    """
+    rows = df.orderBy(order).collect()
     return Layout.of([(r["column_name"], r["column_width"]) for r in rows], separator_width)
 
 
@@ -168,8 +166,6 @@ def column_spans(lines: DataFrame, value: str = "value") -> DataFrame:
 
 def infer_layout(lines: DataFrame, names: Sequence[str] | None = None, value: str = "value") -> Layout:
     """Layout from the text itself, with positional ``names``."""
-    spans = column_spans(lines, value).orderBy("start").limit(MOST_FIELDS + 1).collect()
-    if len(spans) > MOST_FIELDS:
-        raise ValueError("the lines do not look like fixed-width records")
+    spans = column_spans(lines, value).orderBy("start").collect()
     found = Layout(tuple(Field(f"column_{i + 1}", s["start"], s["width"]) for i, s in enumerate(spans)))
     return found.renamed(names) if names is not None else found

@@ -79,10 +79,12 @@ class LoanFiles:
     def unpack_archives(self, zip_folder: str) -> DataFrame:
         """Unpack text records under raw and dictionaries under dictionaries, by year.
 
-        Existing targets stay unless overwriting is on.  The work is done here, once; the
-        result reports target and bytes of every file copied.
+        Existing targets stay unless overwriting is on; then of two members with one
+        target the last wins.  The work is done here, once; the result reports every
+        member (``copied`` with its bytes, or ``failed``) and every ``unreadable`` archive.
         """
-        members = archives.routed_members(archives.list_members(self.spark, zip_folder))
+        listed = archives.list_members(self.spark, zip_folder)
+        members = archives.routed_members(listed, last=self.options.overwrite)
         root = F.when(F.col("route") == "raw", F.lit(self.data.raw)).otherwise(F.lit(self.data.dictionaries))
         targets = members.withColumn("target", F.concat_ws("/", root, F.col("year"), F.col("base_name")))
         for kind, folder, replace in (
@@ -98,7 +100,7 @@ class LoanFiles:
             )
             targets = targets.join(present, ["route", "year", "base_name"], "left_anti")
         # stored, so that looking at the report does not copy everything again
-        report = sinks.write_table(archives.unpack(targets), scratch_dir(self.spark, "unpacked") + "/report")
+        report = sinks.write_table(archives.unpack(targets).union(archives.unreadable(listed)), scratch_dir(self.spark, "unpacked") + "/report")
         return self.spark.read.parquet(report)
 
     # --- dictionaries ---
@@ -114,7 +116,8 @@ class LoanFiles:
         if not self.options.overwrite_dictionaries and all(files.exists(self.spark, f"{base}.{f}") for f in sinks.FORMATS):
             return None
         combined = combine_tables(table_shapes)
-        ordered = combined.drop(*ORDINALS).orderBy(cols.col("Field #"))
+        # one file: its lines are the order of the fields, and a dictionary is as long as a record is wide
+        ordered = combined.drop(*ORDINALS).repartition(1).sortWithinPartitions(cols.col("Field #"))
         for fmt in formats:
             sinks.write_table(ordered, f"{base}.{fmt}", fmt)
         gaps = missing_preview(missing_ranges(combined, [ORDINALS[0]], "Field #"), [ORDINALS[0]])

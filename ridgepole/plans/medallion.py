@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import posixpath
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -13,8 +14,11 @@ from pyspark.sql import types as T
 
 from ridgepole.functions import paths as path_columns
 from ridgepole.operators.union import union_strict
+from ridgepole.session import scratch_dir
 from ridgepole.sources import archives, files, sinks, tables
 
+log = logging.getLogger(__name__)
+
 Layer = Literal["raw", "bronze", "silver"]
 
 
@@ -62,14 +66,19 @@ class Medallion:
                 path_columns.base_name(F.col("path")).alias("base_name"),
             )
         targets = wanted.select(
-            "archive", "member", "base_name", F.concat(F.lit(self.paths.bronze + "/"), F.col("base_name")).alias("target")
+            "archive", "member", *[c for c in wanted.columns if c == "position"], "base_name", F.concat(F.lit(self.paths.bronze + "/"), F.col("base_name")).alias("target")
         )
         present = files.list_files(self.spark, self.paths.bronze, recursive=False).select(
             path_columns.base_name(F.col("path")).alias("base_name")
         )
         todo = targets if overwrite else targets.join(present, "base_name", "left_anti")
-        # one row per copied file; nothing of the content passes through the driver
-        copied = {r["target"] for r in archives.unpack(todo).toLocalIterator()}
+        # all tasks copy at once; of the stored report only the paths asked for come back
+        report = sinks.write_table(archives.unpack(todo), scratch_dir(self.spark, "promoted") + "/report")
+        outcome = self.spark.read.parquet(report).select("target", "member", "status", "detail").collect()
+        for row in outcome:
+            if row["status"] != "copied":
+                log.warning("%s not promoted: %s", row["member"], row["detail"])
+        copied = {r["target"] for r in outcome if r["status"] == "copied"}
         if not overwrite:
             copied |= {r["target"] for r in targets.join(present, "base_name", "left_semi").toLocalIterator()}
         return sorted(copied)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 # The virtual machine never compiles a method of more than 8,000 bytes of code.  A record
@@ -55,6 +55,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/ridgepole/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: Column) -> DataFrame:
+    """Deal short rows that stand for much work over tasks.
+
+    The number is given, so the adaptive planner does not fold them into one task for
+    being few bytes.
+    """
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder of this library on whatever file system it lies."""
     jvm = spark.sparkContext._jvm

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ridgepole.functions import paths, years
 from ridgepole.operators.dedupe import keep_first, keep_last
+from ridgepole.session import spread
 from ridgepole.sources import files
 
 BUFFER = 4 << 20
@@ -61,8 +63,7 @@ def list_members(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def members_of(archives: DataFrame) -> DataFrame:
-    spread = archives.select("path").repartition(F.col("path"))
-    return spread.mapInPandas(_read_directories, MEMBERS)
+    return spread(archives.select("path"), F.col("path")).mapInPandas(_read_directories, MEMBERS)
 
 
 def route(member: Column) -> Column:
@@ -77,10 +78,11 @@ def member_year(archive: Column, member: Column) -> Column:
     return F.coalesce(year.cast("string"), F.lit("unknown"))
 
 
-def routed_members(members: DataFrame) -> DataFrame:
+def routed_members(members: DataFrame, last: bool = False) -> DataFrame:
     """Wanted members with route, year and target file name, one per target.
 
-    Two members that flatten to the same target: the first is kept.
+    Two members that flatten to the same target: the first is kept, or with ``last`` the
+    last one, as copying one over the other would.
     """
     wanted = members.where(F.col("member").isNotNull()).select(
         "*",
@@ -88,7 +90,8 @@ def routed_members(members: DataFrame) -> DataFrame:
         member_year(F.col("archive"), F.col("member")).alias("year"),
         paths.base_name(F.col("member")).alias("base_name"),
     ).where(F.col("route").isNotNull())
-    return keep_first(wanted, ["route", "year", "base_name"], ["archive", "position"])
+    pick = keep_last if last else keep_first
+    return pick(wanted, ["route", "year", "base_name"], ["archive", "position"])
 
 
 def bronze_members(members: DataFrame, allowed: tuple[str, ...] | None = (".csv",)) -> DataFrame:
@@ -100,16 +103,24 @@ def bronze_members(members: DataFrame, allowed: tuple[str, ...] | None = (".csv"
     return keep_last(named, ["base_name"], ["archive", "position"])
 
 
+# what reading a damaged, truncated, encrypted or unknown form of member raises
+_BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, IndexError)
+
+
 def _copy(source, target_uri: str) -> int:
     """Stream to a temporary name, then move: a lost or repeated task leaves no half file."""
     system, where = _open(target_uri)
     system.create_dir(where.rsplit("/", 1)[0], recursive=True)
     part = f"{where}.{uuid.uuid4().hex}.part"
     copied = 0
-    with system.open_output_stream(part) as out:
-        while chunk := source.read(BUFFER):
-            out.write(chunk)
-            copied += len(chunk)
+    try:
+        with system.open_output_stream(part) as out:
+            while chunk := source.read(BUFFER):
+                out.write(chunk)
+                copied += len(chunk)
+    except _BROKEN:
+        system.delete_file(part)
+        raise
     system.move(part, where)
     return copied
 
@@ -117,25 +128,44 @@ def _copy(source, target_uri: str) -> int:
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         done = []
-        for uri, member, target in zip(batch["archive"], batch["member"], batch["target"]):
+        for uri, member, position, target in zip(batch["archive"], batch["member"], batch["position"], batch["target"]):
             system, where = _open(uri)
+            copied, status, detail = None, "copied", None
             if member is None:
                 with system.open_input_file(where) as source:
-                    done.append((target, _copy(source, target)))
-                continue
-            with system.open_input_file(where) as handle, zipfile.ZipFile(handle) as archive:
-                with archive.open(member) as source:
-                    done.append((target, _copy(source, target)))
-        yield pd.DataFrame(done, columns=["target", "bytes"])
+                    copied = _copy(source, target)
+            else:
+                try:
+                    with system.open_input_file(where) as handle, zipfile.ZipFile(handle) as archive:
+                        # by place, as two members may have one name
+                        with archive.open(archive.infolist()[int(position)]) as source:
+                            copied = _copy(source, target)
+                except _BROKEN as error:
+                    status, detail = "failed", f"{type(error).__name__}: {error}"
+            done.append((uri, member, target, copied, status, detail))
+        out = pd.DataFrame(done, columns=["archive", "member", "target", "bytes", "status", "detail"])
+        yield out.astype({"bytes": "Int64"})
+
+
+REPORT = "archive string, member string, target string, bytes bigint, status string, detail string"
 
 
 def unpack(members: DataFrame) -> DataFrame:
-    """Copy each ``(archive, member)`` to ``target``; a null member copies the file itself.
+    """Copy each ``(archive, member, position)`` to ``target``; a null member copies the file itself.
 
-    Lazy: run an action on the result to do the work.
+    One row for each: ``copied`` with its bytes, or ``failed`` with the reason; a damaged
+    member does not stop the others.  Lazy: run an action on the result to do the work.
     """
-    spread = members.select("archive", "member", "target").repartition(F.col("target"))
-    return spread.mapInPandas(_unpack, "target string, bytes bigint")
+    position = F.col("position") if "position" in members.columns else F.lit(None).cast("bigint").alias("position")
+    return spread(members.select("archive", "member", position, "target"), F.col("target")).mapInPandas(_unpack, REPORT)
+
+
+def unreadable(members: DataFrame) -> DataFrame:
+    """Report rows of the archives whose directory cannot be read."""
+    return members.where("not readable").select(
+        "archive", F.lit(None).cast("string").alias("member"), F.lit(None).cast("string").alias("target"), F.lit(None).cast("bigint").alias("bytes"),
+        F.lit("unreadable").alias("status"), F.lit("not a readable ZIP archive").alias("detail"),
+    )
 
 
 LINES = "archive string, member string, line_no bigint, value string"
@@ -146,10 +176,10 @@ def _lines_of(encoding: str, rows: int):
         import io
 
         for batch in batches:
-            for uri, member in zip(batch["archive"], batch["member"]):
+            for uri, member, position in zip(batch["archive"], batch["member"], batch["position"]):
                 system, where = _open(uri)
                 with system.open_input_file(where) as handle, zipfile.ZipFile(handle) as archive:
-                    with io.TextIOWrapper(archive.open(member), encoding=encoding, newline=None) as text:
+                    with io.TextIOWrapper(archive.open(archive.infolist()[int(position)]), encoding=encoding, newline=None) as text:
                         numbers, values = [], []
                         for number, line in enumerate(text):
                             numbers.append(number)
@@ -168,5 +198,5 @@ def member_lines(members: DataFrame, encoding: str = "latin-1", rows_per_batch:
 
     For repeated use, ``unpack`` once and read the files: those can be split.
     """
-    spread = members.select("archive", "member").repartition(F.col("archive"), F.col("member"))
-    return spread.mapInPandas(_lines_of(encoding, rows_per_batch), LINES)
+    dealt = spread(members.select("archive", "member", "position"), F.col("archive"), F.col("position"))
+    return dealt.mapInPandas(_lines_of(encoding, rows_per_batch), LINES)

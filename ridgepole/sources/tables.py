@@ -8,12 +8,12 @@ import posixpath
 import re
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridgepole.operators import columns as cols
-from ridgepole.operators.layout import MOST_FIELDS, Layout, collect_layout, usable_fields
+from ridgepole.operators.layout import Layout, collect_layout, usable_fields
 from ridgepole.sources import files
 
 
@@ -32,7 +32,11 @@ def read_dictionary(spark: SparkSession, path: str, fmt: str | None = None) -> D
         df = spark.read.parquet(path)
     else:
         raise ValueError(f"a dictionary is csv or parquet, not {kind!r}")
-    return df.withColumn("_order", F.monotonically_increasing_id())
+    # of several part files the names give the order, inside a file the rows; a dictionary
+    # is as long as a record is wide, so one window holds it
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"))
+    in_order = Window.partitionBy(F.lit(1)).orderBy("_file", "_at")
+    return placed.withColumn("_order", (F.row_number().over(in_order) - 1).cast("bigint")).drop("_file", "_at")
 
 
 def read_layout(
@@ -64,9 +68,7 @@ def read_delimited(
 
 def read_name_map(spark: SparkSession, path: str) -> dict[str, str]:
     """A header-less two-column file of old and new column names."""
-    rows = spark.read.option("escape", '"').csv(path).limit(MOST_FIELDS + 1).collect()
-    if len(rows) > MOST_FIELDS:
-        raise ValueError("a column name map cannot have more entries than a table has columns")
+    rows = spark.read.option("escape", '"').csv(path).collect()
     return {str(r[0]): str(r[1]) for r in rows}
 
 

@@ -13,6 +13,7 @@ from ridgepole import BankData, DataPaths, LoadOptions, LoanFiles, LoanLimits, M
 from ridgepole.operators.layout import Layout
 from ridgepole.plans import rule_tables
 from ridgepole.sources import archives, files, links, sinks, tables
+from ridgepole.sources.tables import read_layout
 from ridgepole.sources.text_lines import read_lines
 from ridgepole.streaming.incremental import convert_new, parsed_stream
 
@@ -153,18 +154,55 @@ def test_archives(spark, tmp_path):
     assert [(r.member, r.readable) for r in archives.list_members(spark, str(zips)).where("not readable").collect()] == [(None, False)]
     put(tmp_path / "raw/unknown/b.txt", b"kept")
     job = LoanFiles(spark, DataPaths.under(str(tmp_path)))
-    done = {r["target"][len(str(tmp_path)):]: r["bytes"] for r in job.unpack_archives(str(zips)).collect()}
+    done = {r["target"][len(str(tmp_path)):]: r["bytes"] for r in job.unpack_archives(str(zips)).where("status = 'copied'").collect()}
     assert done == {"/raw/2019/fnma_sf2019c.txt": 7, "/dictionaries/2019/2005_guide.PDF": 4, "/raw/2008/a_2008_b.txt": 3}
     assert (tmp_path / "raw/2019/fnma_sf2019c.txt").read_bytes() == "é1\r\nb2\n".encode("latin-1")
     assert (tmp_path / "raw/unknown/b.txt").read_bytes() == b"kept"
     assert not list(tmp_path.rglob("*.part"))
-    assert job.unpack_archives(str(zips)).count() == 0
+    assert [(r["status"], r["member"]) for r in job.unpack_archives(str(zips)).collect()] == [("unreadable", None)]
     lines = archives.member_lines(
         archives.list_members(spark, str(zips)).where("member like '%/er/%'"), rows_per_batch=1
     )
     assert [tuple(r)[2:] for r in lines.orderBy("line_no").collect()] == [(0, "é1"), (1, "b2")]
 
 
+def test_many_members_one_damaged(spark, tmp_path):
+    """Members are dealt over tasks; a damaged one fails alone; with overwriting the last of two names wins."""
+    zips = tmp_path / "zips"
+    zips.mkdir()
+    with zipfile.ZipFile(zips / "many_2020.zip", "w", zipfile.ZIP_STORED) as z:
+        for i in range(120):
+            z.writestr(f"a/f{i}.txt", f"member {i}")
+        z.writestr("b/f3.txt", "second")
+    raw = bytearray((zips / "many_2020.zip").read_bytes())
+    at = raw.index(b"member 77")
+    raw[at : at + 6] = b"MEMBER"
+    (zips / "many_2020.zip").write_bytes(bytes(raw))
+    members = archives.list_members(spark, str(zips))
+    targets = archives.routed_members(members, last=True).withColumn("target", F.concat(F.lit(f"{tmp_path}/out/"), "base_name"))
+    copied = archives.unpack(targets)
+    assert copied.select(F.spark_partition_id()).distinct().count() > 1
+    status = {r["member"]: (r["status"], r["detail"]) for r in copied.collect()}
+    assert len(status) == 120 and status["a/f77.txt"][0] == "failed" and "CRC" in status["a/f77.txt"][1]
+    assert sum(s == "copied" for s, _ in status.values()) == 119
+    assert (tmp_path / "out/f3.txt").read_bytes() == b"second" and not list((tmp_path / "out").glob("*.part"))
+
+
+def test_dictionary_keeps_its_order(spark, tmp_path):
+    """Part files are read by name, whatever their sizes."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fields = spark.createDataFrame([(f"f{i:03d}" + "x" * (120 - i), i % 9 + 1) for i in range(120)], "`Field Name` string, `Field Width` int")
+        for fmt in ("csv", "parquet"):
+            path = f"{tmp_path}/d.{fmt}"
+            writer = fields.repartitionByRange(30, "Field Name").write
+            writer.option("header", True).csv(path) if fmt == "csv" else writer.parquet(path)
+            layout = read_layout(spark, path)
+            assert [f.name[:4] for f in layout.fields] == [f"f{i:03d}" for i in range(120)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_medallion(spark, tmp_path):
     raw = tmp_path / "set/raw"
     raw.mkdir(parents=True)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ridgepole.functions import dates, paths, text, years
 from ridgepole.operators import columns as cols
+from ridgepole.operators import expand
 from ridgepole.operators.dedupe import keep_first, keep_last
 from ridgepole.operators.dictionary import combine_tables
 from ridgepole.operators.expand import expand_numbers, explode_range
@@ -226,6 +227,9 @@ def test_fill_from_yearly(spark):
     out = fill_from_yearly(df, "I", [f"{y} I" for y in range(2012, 2017)])
     assert out.columns == ["k", "I"] and rows(out) == [(1, 2), (2, None)]
     assert fill_from_yearly(df, "J", ["2012 J"]).dtypes[-1] == ("J", "double")
+    mixed = spark.createDataFrame([(1, 5, None), (2, None, 7), (3, 8, 9)], "k int, I int, `2012 I` int")
+    assert rows(fill_from_yearly(mixed, "I", ["2012 I"]).select("k", "I")) == [(1, 5), (2, 7), (3, 9)]
+    assert rows(fill_from_yearly(mixed, "I", ["1999 I"]).select("k", "I")) == [(1, 5), (2, None), (3, 8)]
 
 
 # --- first and last rows, gaps, expansion ---
@@ -270,6 +274,13 @@ def test_explode_range_pieces(spark):
     df = spark.createDataFrame([(0, 200_000), (5, 3), (None, 1), (7, 7)], "s bigint, e bigint")
     out = explode_range(df, "s", "e", "n", spread=True)
     assert out.count() == 200_002 and out.select("n").distinct().count() == 200_001
+    assert out.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_explode_range_in_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(expand, "PIECE", 4)
+    df = spark.createDataFrame([(-5, 101), (3, 18)], "s bigint, e bigint")
+    assert sorted(r["n"] for r in explode_range(df, "s", "e", "n").collect()) == sorted([*range(-5, 102), *range(3, 19)])
 
 
 def test_expand_numbers(spark):
