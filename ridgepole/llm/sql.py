@@ -52,3 +52,70 @@ cut as (select *, (('0x' || substr(md5('slot:' || key), 1, 8))::bigint * (select
 select doc_id, size, text_crc32, 'key' as law, shard,
     row_number() over (partition by shard order by block, doc_id nulls first, size, text_crc32) - 1 as slot, grown_shard
 from cut"""
+
+
+ORACLE["op3_near_dedup"] = """
+with recursive good as (
+    select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings
+    where vec_id is not null and len(embedding) > 0 and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+      and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+unit as (select vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) as u from good),
+links as (select a.vec_id as a, b.vec_id as b from unit a join unit b on a.vec_id <> b.vec_id and list_inner_product(a.u, b.u) >= 0.9),
+reach as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+least as (select a, least(a, min(b)) as component_id from reach group by a),
+counts as (select a, count(*) as n_links from links group by a)
+select e.vec_id, coalesce(c.n_links, 0) as n_links, coalesce(l.component_id, e.vec_id) as component_id, coalesce(l.component_id, e.vec_id) = e.vec_id as kept
+from embeddings e left join counts c on c.a = e.vec_id left join least l on l.a = e.vec_id"""
+
+ORACLE["op7_jaccard_join"] = r"""
+with recursive low as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+    select doc_id, list_distinct(case when len(w) >= 5 then [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
+                                      when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from low),
+flat as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+links as (
+    select a.doc_id as a, b.doc_id as b from flat a join flat b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+least as (select a, least(a, min(b)) as component_id from reach group by a)
+select s.doc_id, len(s.s) as n_shingles, coalesce(l.component_id, s.doc_id) as component_id from sets s left join least l on l.a = s.doc_id"""
+
+_SIZED = r"""
+sized as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+    md5('0:' || coalesce(doc_id::varchar, 'null')) as h, coalesce('=' || source, '-') as src from documents),
+placed as (select *, (('0x' || substr(h, 1, 8))::bigint * (select greatest(1, (count(*) + 49999) // 50000) from documents)) >> 32 as cell,
+    ('0x' || substr(h, 9, 8))::bigint as ord from sized)"""
+
+# the highest quotients, listed one by one; ties go to the earlier source or cell
+ORACLE["op9_mixing"] = f"""
+with {_SIZED},
+cells as (select src, any_value(source) as source, cell, sum(size)::bigint as cell_size from placed group by src, cell),
+sources as (select src, any_value(source) as source, sum(cell_size)::bigint as source_size from cells group by src),
+ranked as (select *, row_number() over (order by source nulls last) - 1 as r, sum(source_size) over () as total from sources),
+weighed as (select *, ([5.0, 2.0, 1.0]::double[])[r % 3 + 1] as weight from ranked),
+leveled as (select *, (total - coalesce(sum(3 * source_size) over (order by source_size * 3 / weight, r rows between unbounded preceding and 1 preceding), 0))::double
+    / sum(weight) over (order by source_size * 3 / weight, r rows between current row and unbounded following) as level from weighed),
+stopped as (select *, source_size * 3 <= level * weight as stops from leveled),
+targets as (select *, case when stops then source_size * 3.0::double else coalesce(max(case when not stops then level end) over (), 0) * weight end as target,
+    greatest(1, least(4096, total::bigint >> 20)) as block from stopped),
+seats as (select src, target / (2 * k + 1) as q, r, total, block from (select *, unnest(range((source_size * 3 + block - 1) // block)) as k from targets where target > 0)),
+won as (select src, count(*) as quota from (select *, row_number() over (order by q desc, r) as place from seats) where place <= total // block group by src),
+cell_seats as (select c.src, c.cell, c.cell_size / (2 * k + 1) as q, w.quota from
+    (select c.*, unnest(range((c.cell_size * 3 + t.block - 1) // t.block)) as k from cells c join targets t using (src)) c join won w using (src)),
+cell_won as (select src, cell, count(*) as quota from (select *, row_number() over (partition by src order by q desc, cell) as place from cell_seats) where place <= quota group by src, cell),
+settled as (select c.src, c.cell, c.cell_size, t.source_size, t.target, least(coalesce(w.quota, 0) * t.block, 3 * c.cell_size)::bigint as words, t.block,
+    ((('0x' || substr(md5('0:' || c.src || ':' || c.cell::varchar), 1, 8))::bigint * greatest(1, (c.cell_size + t.block - 1) // t.block)) >> 32) * t.block as first
+    from cells c join targets t using (src) left join cell_won w using (src, cell)),
+lined as (select *, sum(size) over (partition by src, cell order by ord, doc_id, size rows between unbounded preceding and current row)::bigint as stop from placed),
+joined as (select l.*, l.stop - l.size as start, s.source_size, s.target, s.cell_size, s.first,
+    case when s.cell_size = 0 then 0 else s.words // s.cell_size end as passes, case when s.cell_size = 0 then 0 else s.words % s.cell_size end as more
+    from lined l join settled s using (src, cell))
+select doc_id, source, size, source_size, target,
+    (passes * size + greatest(0, least(stop, least(first + more, cell_size)) - greatest(start, first)) + greatest(0, least(stop, first + more - cell_size) - start))::bigint as taken
+from joined"""
+
+ORACLE["op10_chat_quotes"] = """
+select conv_id, turn, role, text, lag(turn) over w as parent_turn, min(turn) over (partition by conv_id) as root_turn,
+    row_number() over w - 1 as depth, row_number() over w - 1 as position
+from conversations window w as (partition by conv_id order by turn)"""
