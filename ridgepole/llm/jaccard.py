@@ -37,14 +37,14 @@ from ridgepole.llm import hashes, shingles, vectors
 from ridgepole.llm.common import components, narrowed, stored, whole_runs
 
 #: A shingle in more prefixes than this is common.
-COMMON = 16
+COMMON = 8
 MOST_COMMON = 1 << 20
 #: Partners that one group of rows compares with a pivot.
 PARTNERS = 512
 #: Members of a shingle that are expanded to pairs; shingles and texts of a block of a larger one.
 FEW_MEMBERS = 8
-BLOCK_SHINGLES = 100_000
-BLOCK_TEXTS = 512
+BLOCK_SHINGLES = 1_000_000
+BLOCK_TEXTS = 1024
 
 _MEMBER, _GROUPS, _CLASSES, _BUCKET = 0, 1, 2, 3
 
@@ -240,21 +240,37 @@ def _blocks(crowd: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return sorted_rows.mapInArrow(_compare(percent), "a bigint, b bigint")
 
 
-def common_counts(sets: list[np.ndarray], others: list[np.ndarray], columns: int = 4096) -> np.ndarray:
-    """Sizes of the intersections of all sets with all others, by products of incidence matrices."""
-    owner = np.repeat(np.arange(len(sets) + len(others)), [len(s) for s in [*sets, *others]])
-    values, place, count = np.unique(np.concatenate([*sets, *others]), return_inverse=True, return_counts=True)
-    column = np.cumsum(count > 1) - 1
-    shared = count[place] > 1
-    owner, column = owner[shared], column[place[shared]]
-    out = np.zeros((len(sets), len(others)), np.float32)
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
+def common_counts(sets: list[np.ndarray], split: int = 0, columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of sets before ``split`` with those from it on; without a
+    split of all with all, where an earlier set meets a later one.
+
+    Shingles of few sets are counted pair by pair, those of many by products of incidence matrices.
+    """
+    n = len(sets)
+    rows, low_row = split or n, split
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    owner, values = owner[order], values[order]
+    turn = np.append(True, values[1:] != values[:-1]) if len(values) else np.empty(0, bool)
+    count = np.diff(np.append(np.flatnonzero(turn), len(values)))
+    many = np.repeat(count, count)
+    few = (many > 1) & (many <= FEW_MEMBERS)
+    token, own = (np.cumsum(turn) - 1)[few], owner[few]
+    out = np.zeros(rows * (n - low_row), np.float32)
+    for step in range(1, FEW_MEMBERS):
+        a, b = own[:-step], own[step:]
+        met = token[:-step] == token[step:]
+        met &= (a < rows) & (b >= low_row)
+        out += np.bincount(a[met] * (n - low_row) + b[met] - low_row, minlength=len(out)).astype(np.float32)
+    out = out.reshape(rows, n - low_row)
+    dense = many > FEW_MEMBERS
+    column, own = np.cumsum(turn & dense)[dense] - 1, owner[dense]
     for low in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
         a, b = np.searchsorted(column, [low, low + columns])
-        part = np.zeros((len(sets) + len(others), columns), np.float32)
-        part[owner[a:b], column[a:b] - low] = 1
-        out += part[: len(sets)] @ part[len(sets) :].T
+        part = np.zeros((n, columns), np.float32)
+        part[own[a:b], column[a:b] - low] = 1
+        out += part[:rows] @ part[low_row:].T
     return out
 
 
@@ -272,7 +288,7 @@ def _compare(percent: int):
                 if left[0] == left[1]:
                     continue
                 mine, theirs = sets[: split - first], sets[right[0] - first : right[1] - first]
-                both = common_counts(mine, theirs)
+                both = common_counts(sets, len(mine) if split < last else 0)
                 n, m = np.array([len(s) for s in mine]), np.array([len(s) for s in theirs])
                 hit = (100 * both >= percent * (n[:, None] + m[None, :] - both)) & (label[left[0] : left[1], None] != label[None, right[0] : right[1]])
                 i, j = np.nonzero(hit)
