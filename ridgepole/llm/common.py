@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgepole.session import scratch_dir
+from ridgepole.session import remove_dir, scratch_dir
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -19,6 +19,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``stored`` wrote, once all that was made of it is stored or collected."""
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        remove_dir(table.sparkSession, path)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` of the nodes on ``edges`` (``a``, ``b``: bigint); the least node names it.
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridgepole.llm import hashes, shingles, vectors
-from ridgepole.llm.common import components, narrowed, stored, whole_runs
+from ridgepole.llm.common import components, discard, narrowed, stored, whole_runs
 
 #: A shingle in more prefixes than this is common.
 COMMON = 8
@@ -305,10 +305,12 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    sized = stored(rows.mapInArrow(_sizes(percent), "doc_id bigint, n bigint, key bigint, head array<bigint>"), "jaccard-sizes")
+    headed = stored(rows.mapInArrow(_sizes(percent), "doc_id bigint, n bigint, key bigint, head array<bigint>"), "jaccard-heads")
+    sized = stored(headed.drop("head"), "jaccard-sizes")
 
-    counted = sized.where("head is not null").select(F.explode("head").alias("token")).groupBy("token").count().where(F.col("count") > COMMON)
+    counted = headed.where("head is not null").select(F.explode("head").alias("token")).groupBy("token").count().where(F.col("count") > COMMON)
     common = counted.orderBy(F.col("count").desc(), "token").limit(MOST_COMMON).select("token", "count").toArrow()
+    discard(headed)
     values = common.column("token").to_numpy().view(np.uint64)
     by_value = np.argsort(values)
     late = spark.sparkContext.broadcast((values[by_value], common.column("count").to_numpy()[by_value]))
@@ -334,7 +336,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
         keyed = near.mapInArrow(_keyed, "key bigint, text string").join(wanted, "key", "left_semi")
         return stored(keyed.dropDuplicates(["key"]), "jaccard-texts")
 
-    linked = stored(verify(stars, texts_of(stars), percent), "jaccard-links")
+    star_texts = texts_of(stars)
+    linked = stored(verify(stars, star_texts, percent), "jaccard-links")
+    discard(star_texts)
     labels = stored(components(linked), "jaccard-labels")
 
     # round two: shingles and groups whose members are not of one component yet
