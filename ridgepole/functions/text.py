@@ -82,7 +82,8 @@ def looks_whole(c: Column) -> Column:
 
 def plain_number(c: Column) -> Column:
     """No type suffix: a cast would read codes like ``1D`` and ``2F`` as numbers."""
-    return ~F.right(c, F.lit(1)).isin("d", "D", "f", "F")
+    ends = F.right(c, F.lit(1)).isin("d", "D", "f", "F")
+    return ~ends | ~c.rlike("[0-9.][dDfF]$")  # inf is a number and ends in f too
 
 
 def looks_numeric(c: Column) -> Column:
