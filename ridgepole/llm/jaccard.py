@@ -8,9 +8,9 @@ their prefixes.
 
 Links are verified exactly, in two rounds, so that a group of thousands of near copies
 does not become all its pairs.  Round one expands each group, and each shingle's groups,
-to a star around one member of each size.  Round two takes every shingle and group whose
-members are still in different components: ``FEW_MEMBERS`` or fewer are expanded to their
-pairs across components; larger ones are joined to clusters, which are cut into blocks by
+to a star around one member of each size.  Round two takes every group and every shingle of
+two groups or more (those of the same two groups once) that has three classes at least, in
+different components still: ``FEW_MEMBERS`` or fewer are expanded to their pairs across components; larger ones are joined to clusters, which are cut into blocks by
 size, and a task compares two blocks by products of their incidence matrices and hands on
 a spanning forest of the links.  A candidate pair that is left out lies inside one
 component, so components are complete.
@@ -46,7 +46,7 @@ FEW_MEMBERS = 8
 BLOCK_SHINGLES = 1_000_000
 BLOCK_TEXTS = 1024
 
-_MEMBER, _GROUPS, _CLASSES, _BUCKET = 0, 1, 2, 3
+_MEMBER, _GROUPS, _CLASSES, _BUCKET, _TWO = 0, 1, 2, 3, 4
 
 
 def _bytes(column: pa.Array) -> list[bytes]:
@@ -129,7 +129,7 @@ def _prefixes(common, percent: int):
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by token, size, owner: members, stars, and the buckets of three and more."""
+    """Of rows sorted by token, size, owner: members, stars (``_TWO`` is that of a shingle of two groups), and the buckets of three and more."""
     for table in whole_runs(batches, "token"):
         if not table.num_rows:
             continue
@@ -154,12 +154,12 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = np.concatenate([spokes, heads[joints]])
         fits = 5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b])
         a, b = a[fits], b[fits]
-        out.append((np.where(kind[a] == 1, _CLASSES, _GROUPS), owner[a], owner[b], n[b]))
+        out.append((np.where(kind[a] == 1, _CLASSES, np.where(many[a] == 2, _TWO, _GROUPS)), owner[a], owner[b], n[b]))
         deep = np.flatnonzero((many >= 3) & (kind == 0))
         out.append((np.full(len(deep), _BUCKET), token[deep], owner[deep], n[deep]))
         what, x, y, size = (np.concatenate(c).astype(np.int64) for c in zip(*out))
         if len(what):
-            pair = (what == _GROUPS) | (what == _CLASSES)
+            pair = (what == _GROUPS) | (what == _CLASSES) | (what == _TWO)
             x, y = np.where(pair, np.minimum(x, y), x), np.where(pair, np.maximum(x, y), y)
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (what, x, y, size)], names=["kind", "x", "y", "n"])
 
@@ -323,7 +323,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     members = kind(_MEMBER).select(F.col("x").alias("g"), F.col("y").alias("key"), "n")
     lead = members.groupBy("g").agg(F.min("key").alias("lead"))
     left, right = lead.select(F.col("g").alias("x"), F.col("lead").alias("a")), lead.select(F.col("g").alias("y"), F.col("lead").alias("b"))
-    groups = kind(_GROUPS).select("x", "y").distinct().join(left, "x").join(right, "y").select("a", "b")
+    groups = found.where(F.col("kind").isin(_GROUPS, _TWO)).select("x", "y").distinct().join(left, "x").join(right, "y").select("a", "b")
     stars = groups.union(kind(_CLASSES).select("x", "y")).where("a <> b")
     stars = stored(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-round")
 
@@ -344,15 +344,20 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     # round two: shingles and groups whose members are not of one component yet
     of = members.join(labels.withColumnRenamed("node", "key"), "key", "left").select("g", "key", "n", F.coalesce("component", "key").alias("label"))
     of = stored(of, "jaccard-members")
-    buckets = kind(_BUCKET).select(F.col("x").alias("token"), F.col("y").alias("g")).join(of, "g").select("token", "key", "n", "label")
-    buckets = stored(buckets.union(of.select(F.col("g").alias("token"), "key", "n", "label")), "jaccard-buckets")
-    torn = buckets.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many"), F.min("key").alias("lead")).where("low < high")
-    open_rows = stored(buckets.join(torn.select("token", "many", "lead"), "token"), "jaccard-open")
+    two = kind(_TWO).select("x", "y").distinct().select(F.xxhash64("x", "y").alias("token"), F.explode(F.array("x", "y")).alias("g"))
+    held = kind(_BUCKET).select(F.col("x").alias("token"), F.col("y").alias("g")).union(two)
+    ends = of.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many"), F.min("key").alias("lead"))
+    ends = stored(ends, "jaccard-ends")
+    spans = held.join(ends, "g").select("token", "low", "high", "many", "lead").union(ends.select(F.col("g").alias("token"), "low", "high", "many", "lead"))
+    torn = spans.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("many").alias("many"), F.min("lead").alias("lead"))
+    torn = stored(torn.where("low < high and many > 2").select("token", "many", "lead"), "jaccard-torn")  # round one compared two classes
+    of_groups = held.union(ends.select(F.col("g").alias("token"), "g"))
+    open_rows = stored(of_groups.join(torn, "token").join(of, "g").select("token", "key", "n", "label", "many", "lead"), "jaccard-open")
     few = open_rows.where(F.col("many") <= FEW_MEMBERS)
-    one = few.select("token", F.col("key").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    two = few.select("token", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+    left = few.select("token", F.col("key").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+    right = few.select("token", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
     near_size = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (F.col("la") < F.col("lb"))
-    pairs = one.join(two, "token").where(near_size).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = left.join(right, "token").where(near_size).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = stored(pairs.join(stars, ["a", "b"], "left_anti"), "jaccard-round")
     crowd = stored(_clusters(open_rows.where(F.col("many") > FEW_MEMBERS)), "jaccard-clusters")
     texts = texts_of(rest.union(crowd.select(F.col("key").alias("a"), F.col("key").alias("b"))))

@@ -301,6 +301,22 @@ def test_join_of_near_copies_and_common_lines(spark):
     assert _joined(df) == _components(rows)
 
 
+def test_join_of_members_that_share_a_shingle_of_two_groups(spark):
+    """A and B have one prefix and size; C holds B and shares the prefix with them, and A leads the group."""
+    rows, tried = [], 0
+    while len(rows) < 36:
+        word = lambda k: f"v{tried}x{k}"
+        head = [word(k) for k in range(5)]
+        texts = [" ".join(head + [word(k) for k in range(low, low + 3)]) for low in (5, 8)]
+        a, b = shingles.sets([t.encode() for t in texts])
+        if a[0] == b[0] and set(a) & set(b) == {a[0]} and shingles.key(a) < shingles.key(b):
+            rows += [(len(rows) + k, t) for k, t in enumerate([*texts, texts[1] + " " + word(11)])]
+        tried += 1
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert _joined(df) == _components(rows)
+    assert len({component for _, _, component in _components(rows)}) == 24
+
+
 def test_shingle_sets_of_long_texts_in_pieces(monkeypatch):
     texts = [b"a b c d e f g", b"", b" x ", b"A  b\tc d E f g", b"q r"]
     want = shingles.sets(texts)
