@@ -82,6 +82,20 @@ def test_near_duplicates_in_small_blocks(spark, monkeypatch):
     assert near.dedup(df).columns == ["vec_id", "embedding", "n_links", "component_id", "kept"]
 
 
+def test_near_duplicates_of_a_tight_group_over_many_cells(spark):
+    """One group of thousands of different vectors, and as many without near neighbours: every link is found."""
+    rng = np.random.default_rng(3)
+    head = rng.standard_normal(16)
+    tight = head / np.linalg.norm(head) + 0.07 * rng.standard_normal((3500, 16))
+    rows = list(enumerate(np.concatenate([tight, rng.standard_normal((2500, 16))]).tolist()))
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hit = x @ x.T >= 0.9
+    lead = vectors.forest(len(x), *np.nonzero(hit))
+    assert _found(df) == Counter((i, int(hit[i].sum()) - 1, int(lead[i]), bool(lead[i] == i)) for i in range(len(x)))
+
+
 def test_near_duplicates_of_odd_rows(odd_vectors):
     assert _found(odd_vectors) == _links(_rows(odd_vectors))
     assert near.dedup(odd_vectors.limit(0)).count() == 0
