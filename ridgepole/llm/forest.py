@@ -8,6 +8,8 @@ many entries as there are vectors, and ``least`` of them if the roots have as ma
 
 For inner products, a vector x gets one more component, ``sqrt(M**2 - x.x)`` with M the
 largest norm, so all have one length; a query gets 0 there, and angles order as products do.
+Norms are banded by factors of ``RATIO``, and each band has its own M and its own trees, of
+which a query takes the same share, so a few long vectors do not turn all others away from it.
 
 How far up a query goes is settled on counts of prefixes.  A tree is cut into segments of
 neighbours (bounds are quantiles); a query visits the segments its ranges touch, and a
@@ -15,7 +17,7 @@ task holds one segment's queries while its vectors stream by, keeping the best o
 query.  Equal vectors are one vector with their least ids.
 
 Random vectors of 64 dimensions have no near neighbours, so ``share`` is large; the tests
-measure recall against brute force.  Where the roots are reached, the search is exact.
+measure recall against brute force without ``least``, which only makes small tables exact.  Where the roots are reached, the search is exact.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components
 neither search nor are found, nor do rows with a null id; ties go to the smaller id; rows
@@ -38,8 +40,11 @@ from ridgepole.llm.common import stored
 
 TREES = 24
 BITS = 62
-SHARE = 0.6
+SHARE = 1.0
 LEAST = 16_384
+#: Norms of a band differ by this factor at most; bands are as many as the norms of doubles have.
+RATIO = 1.25
+MOST_BANDS = 8192
 #: Vectors that a segment is meant to hold, and segments of a tree at most.
 SEGMENT = 8192
 MOST_SEGMENTS = 4096
@@ -60,21 +65,28 @@ def strings(x: np.ndarray, last: np.ndarray, trees: int, seed: int) -> np.ndarra
     return (side.reshape(len(x), trees, BITS) * weight).sum(axis=2)
 
 
-def _hash(longest: float, trees: int, seed: int, query: bool):
+def _hash(longest: dict[int, tuple[int, float]], trees: int, seed: int, query: bool):
+    """longest: place and largest norm of each band.  A query is a string in the trees of all bands."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = vectors.matrix(batch.column(1))
             norm2 = (x * x).sum(axis=1)
-            last = np.zeros(len(x)) if query else np.sqrt(np.maximum(0.0, longest * longest - norm2))
-            own = strings(x / max(longest, 1e-300), last / max(longest, 1e-300), trees, seed)
-            count = len(x)
-            which = np.repeat(np.arange(count), trees)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(trees, dtype=np.int32), count)), pa.array(own.ravel()), *[c.take(pa.array(which)) for c in batch.columns]],
-                names=["tree", "string", *batch.schema.names],
-            )
+            settled = [longest[b] for b in batch.column(2).to_pylist()]
+            top = np.array([m for _, m in settled])
+            last = np.zeros(len(x)) if query else np.sqrt(np.maximum(0.0, top * top - norm2))
+            scale = np.maximum(top, 1e-300)
+            own = strings(x / scale[:, None], last / scale, trees, seed)
+            first = np.array([p for p, _ in settled], np.int32) * trees
+            for offset in sorted(p * trees for p, _ in longest.values()) if query else [first]:
+                which = pa.array(np.repeat(np.arange(len(x)), trees))
+                tree = np.tile(np.arange(trees, dtype=np.int32), (len(x), 1)) + (offset if query else offset[:, None])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tree.ravel().astype(np.int32)), pa.array(own.ravel()), *[c.take(which) for c in batch.columns[:2]]],
+                    names=["tree", "string", *batch.schema.names[:2]],
+                )
 
     return run
 
@@ -143,6 +155,13 @@ def search(rows: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: st
     distinct = stored(vectors.distinct(rows, vec_id, vector, most_ids=most + 1), "forest-distinct")
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     count, longest = distinct.agg(F.count("*"), F.coalesce(F.max(norm), F.lit(0.0))).first()
+    log_longest = float(np.log(longest)) if longest > 0 else 0.0
+    apart = F.coalesce((F.lit(log_longest) - F.log(norm)) / F.lit(float(np.log(RATIO))), F.lit(float(MOST_BANDS)))
+    band = F.floor(F.least(F.greatest(apart, F.lit(0.0)), F.lit(float(MOST_BANDS)))).cast("int")
+    bands = distinct.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.max(norm).alias("longest")).orderBy("band").collect()  # MOST_BANDS + 1 rows at most
+    tops = {r["band"]: (place, r["longest"]) for place, r in enumerate(bands)}
+    needs = [(place, float(min(trees * r["n"], max(share, least / count) * r["n"]))) for place, r in enumerate(bands)]
+    needs = spark.createDataFrame(needs, "place int, need double")
     id_, vec = F.col(f"`{vec_id}`"), F.col(f"`{vector}`")
     asked = rows.where(is_query & id_.isNotNull() & vectors.usable(vec)).select(id_.cast("bigint").alias("query_id"), vec.alias("_vec"))
     asked = stored(asked.join(distinct.select("vec", "rep"), F.col("_vec") == F.col("vec")).select("query_id", "rep"), "forest-queries")
@@ -150,25 +169,27 @@ def search(rows: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: st
 
     kind = distinct.schema["vec"].dataType.simpleString()
     schema = f"tree int, string bigint, id bigint, vec {kind}"
-    hashed = lambda df, query: df.select(F.col("rep").alias("id"), "vec").mapInArrow(_hash(longest, trees, seed, query), schema)
+    hashed = lambda df, query: df.select(F.col("rep").alias("id"), "vec", band.alias("band")).mapInArrow(_hash(tops, trees, seed, query), schema)
     points = hashed(distinct, False)
     targets = hashed(sought, True)
 
-    # how far up each query goes: the deepest level whose ranges in all trees hold enough
+    # how far up each query goes in each band: the deepest level whose ranges in all trees hold enough
     deepest = int(max(1, min(DEEPEST, np.ceil(np.log2(max(2.0, trees / share))) + 6)))
     finest = stored(points.groupBy("tree", F.shiftright("string", BITS - deepest).alias("prefix")).agg(F.count("*").alias("n")), "forest-prefixes")
     levels = F.explode(F.sequence(F.lit(0), F.lit(deepest))).alias("level")
     cut = lambda c, level: F.expr(f"shiftright({c}, {deepest} - {level})")
     sizes = finest.select("tree", "prefix", "n", levels).groupBy("tree", "level", cut("prefix", "level").alias("prefix")).agg(F.sum("n").alias("n"))
     asks = targets.select("id", "tree", F.shiftright("string", BITS - deepest).alias("prefix"), levels).select("id", "tree", "level", cut("prefix", "level").alias("prefix"))
-    reach = asks.join(sizes, ["tree", "level", "prefix"]).groupBy("id", "level").agg(F.sum("n").alias("n")).where(F.col("n") >= min(trees * count, max(share * count, least)))
-    depth = reach.groupBy("id").agg(F.max("level").alias("level"))
+    place = F.floor(F.col("tree") / trees).cast("int").alias("place")
+    reach = asks.join(sizes, ["tree", "level", "prefix"]).groupBy("id", place, "level").agg(F.sum("n").alias("n"))
+    reach = reach.join(F.broadcast(needs), "place").where(F.col("n") >= F.col("need"))
+    depth = reach.groupBy("id", "place").agg(F.max("level").alias("level"))
 
     # segments of each tree between quantiles of its strings
     parts = int(max(1, min(MOST_SEGMENTS, count // SEGMENT)))
     if parts > 1:
         cuts = [i / parts for i in range(1, parts)]
-        bounds = points.groupBy("tree").agg(F.percentile_approx("string", cuts, 10_000).alias("bounds")).collect()  # trees * MOST_SEGMENTS numbers at most
+        bounds = points.groupBy("tree").agg(F.percentile_approx("string", cuts, 10_000).alias("bounds")).collect()  # MOST_SEGMENTS numbers a tree at most
         bounds = {r["tree"]: np.array(r["bounds"], np.int64) for r in bounds}
     else:
         bounds = {}
@@ -196,7 +217,7 @@ def search(rows: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: st
         return run
 
     dealt_schema = f"tree int, segment bigint, role int, low bigint, high bigint, id bigint, vec {kind}"
-    deep = targets.join(depth, "id").select("tree", "string", "id", "vec", "level")
+    deep = targets.withColumn("place", place).join(depth, ["id", "place"]).select("tree", "string", "id", "vec", "level")
     visits = deep.mapInArrow(to_segments(True), dealt_schema)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(trees * parts, 1 << 16))
     dealt = visits.unionByName(points.mapInArrow(to_segments(False), dealt_schema)).repartition(tasks, "tree", "segment").sortWithinPartitions("tree", "segment", "role", "low", "id")

@@ -141,6 +141,16 @@ def test_forest_recall_and_scores(spark, sf_dir, monkeypatch):
         assert [(-s, i) for i, s in found] == sorted((-s, i) for i, s in found)
 
 
+def test_forest_recall_without_the_floor(spark, sf_dir):
+    """What share alone finds, as in large tables, with a few vectors three times as long as the rest."""
+    df = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.1") + "/embeddings.parquet")
+    rows = [(i, (3 * np.array(v, float)).tolist() if i % 400 == 1 else v) for i, v in _rows(df)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    want, got = _nearest(rows, {i for i, _ in rows if i % 20 == 0}), _answers(df, least=0)
+    assert set(want) == set(got)
+    assert np.mean([len({i for i, _ in want[q]} & {i for i, _ in got[q]}) / 20 for q in want]) >= 0.9
+
+
 def test_forest_of_odd_rows(odd_vectors):
     got = _answers(odd_vectors)
     want = _nearest(_rows(odd_vectors), {20, 40, 60, 80})
