@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridgepole.llm import counts, forest, jaccard, langid, mixing, near, packing, quotes, repeats, shards, sql
+from ridgepole.llm import counts, forest, jaccard, langid, mixing, near, packing, quotes, repeats, shards, sql, transducer
 from ridgepole.llm.common import stored
 from ridgepole.session import scratch_dir
 
@@ -136,4 +136,19 @@ def op10_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.conversations(mail).select("conv_id", "turn", "role", "text", "parent_turn", "root_turn", "depth", "position")
 
 
+@query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the multilingual ranks and decoded again."""
+    import public_tokenizers
+
+    path, docs = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = transducer.decode(transducer.encode(docs, path, public_tokenizers.PATTERN), path, keep_ids=True)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 ORACLE: dict[str, str] = dict(sql.ORACLE)
