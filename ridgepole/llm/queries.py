@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridgepole.llm import counts, forest, jaccard, langid, mixing, near, packing, quotes, repeats, shards, sql, transducer
+from ridgepole.llm import counts, forest, jaccard, langid, mixing, near, packing, quotes, repeats, shards, sql, transducer, turns
 from ridgepole.llm.common import stored
 from ridgepole.session import scratch_dir
 
@@ -136,6 +136,36 @@ def op10_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.conversations(mail).select("conv_id", "turn", "role", "text", "parent_turn", "root_turn", "depth", "position")
 
 
+def damaged(talk: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut, repeated or given another role, by their key's CRC."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.crc32(key.cast("binary")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    rows = talk.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        kind.alias("kind"),
+    )
+    return rows.where("kind <> 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("kind") == 3, 2).otherwise(1)))).drop("kind", "copy")
+
+
+@query
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, their faults and their cheapest repair."""
+    talk = table(spark, sf_dir, "conversations")
+    found = turns.report(damaged(talk)).withColumnRenamed("conv_id", "_found")
+    joined = talk.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("_found")), "left")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 @query
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the multilingual ranks and decoded again."""

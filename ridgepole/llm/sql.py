@@ -119,3 +119,66 @@ ORACLE["op10_chat_quotes"] = """
 select conv_id, turn, role, text, lag(turn) over w as parent_turn, min(turn) over (partition by conv_id) as root_turn,
     row_number() over w - 1 as depth, row_number() over w - 1 as position
 from conversations window w as (partition by conv_id order by turn)"""
+
+
+def _cheapest_steps() -> str:
+    """(symbol, state before, state after, cost, letters, roles made) of a row and the inserts before it."""
+    made, kept = {0: 2, 1: 2, 2: 3, 3: 2}, {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+    rows = []
+    for initial in "suao":
+        for kind, more in (("fine", 0), ("truncated", 3), ("goes", None)):
+            for start in range(4):
+                found: dict[int, tuple] = {}
+                state, cost, letters, roles = start, 0, "", []
+                for _ in range(4):
+                    ways = [(state, cost + 4, letters + "D", [*roles])]
+                    if more is not None:
+                        if (state, initial) in kept:
+                            ways.append((kept[state, initial], cost + more, letters + "K", [*roles, "own"]))
+                        ways.append((made[state], cost + 3 + more, letters + "R", [*roles, "new:" + ("user" if made[state] == 2 else "assistant")]))
+                    for to, c, audit, out in ways:
+                        found[to] = min(found.get(to, (99, "", [])), (c, audit, out))
+                    state, cost, letters = made[state], cost + 3, letters + "I"
+                    roles = [*roles, "add:" + ("user" if state == 2 else "assistant")]
+                for to, (c, audit, out) in found.items():
+                    rows.append(f"('{initial}', '{kind}', {start}, {to}, {c}, '{audit}', {out if out else '[]::varchar[]'})")
+    return "steps(initial, kind, s, t, cost, letters, roles) as (values " + ", ".join(rows) + ")"
+
+
+ORACLE["op11_turn_repair"] = rf"""
+with recursive crc as (select {_CRC_TABLE} as steps),
+keyed as (select *, hex(encode(k)) as digits from (select *,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations)),
+kinds as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as said,
+    ({_CRC.replace("strlen(text)", "strlen(k)")}) % 20 as kind from keyed, crc),
+damaged as (select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(said, '[.!?]', '', 'g') else said end as said, unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+    from kinds where kind <> 0),
+ends as (select *, rtrim(said, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as cut,
+    row_number() over (partition by conv_id order by turn nulls first, role, md5(said), copy) as i from damaged),
+faults as (select *, case when cut = '' then 'blank' when row_number() over (partition by conv_id, role, said order by i) > 1 then 'duplicate'
+    when right(cut, 1) not in ('.', '!', '?') then 'truncated' else 'fine' end as fault, left(role, 1) as initial from ends),
+counts as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated, count(*) as n from faults group by conv_id),
+pairs as (select conv_id, count(*) filter (pair is not null and pair not in ('su', 'ua', 'au')) as illegal
+    from (select conv_id, lag(initial) over (partition by conv_id order by i) || initial as pair from faults) group by conv_id),
+{_cheapest_steps()},
+rows as (select conv_id, i, role, said, case when initial in ('s', 'u', 'a') then initial else 'o' end as initial,
+    case when fault in ('blank', 'duplicate') then 'goes' else fault end as kind from faults),
+ways as (
+    select conv_id, 0::bigint as i, 0 as state, 0::bigint as cost, '' as audit, []::varchar[] as body from counts
+    union all
+    select conv_id, i, t, best.cost, best.audit, best.body from (
+        select w.conv_id, r.i, s.t, min({{'cost': w.cost + s.cost, 'audit': w.audit || s.letters, 'body': w.body || list_transform(s.roles,
+            lambda x: case when x = 'own' then r.role || ':' || r.said when x[1:3] = 'new' then x[5:] || ':' || r.said else x[5:] || ':' end)}}) as best
+        from ways w join rows r on r.conv_id is not distinct from w.conv_id and r.i = w.i + 1 join steps s on s.initial = r.initial and s.kind = r.kind and s.s = w.state
+        group by w.conv_id, r.i, s.t)),
+ended as (select w.conv_id, min({{'cost': w.cost + e.cost, 'audit': w.audit || e.letters, 'body': w.body || e.roles}}) as best
+    from ways w join counts c on c.conv_id is not distinct from w.conv_id and c.n = w.i
+    join (values (0, 0, '', []::varchar[]), (1, 6, 'II', ['user:', 'assistant:']), (2, 3, 'I', ['assistant:']), (3, 0, '', []::varchar[])) e(state, cost, letters, roles) on e.state = w.state
+    group by w.conv_id)
+select o.conv_id, coalesce(c.gaps, 0)::bigint as gaps, coalesce(c.blank, 0) as blank, coalesce(c.duplicate, 0) as duplicate, coalesce(c.truncated, 0) as truncated,
+    coalesce(p.illegal, 0) as illegal, coalesce(e.best.cost, 0)::bigint as cost, coalesce(e.best.audit, '') as audit,
+    sha256(coalesce(array_to_string(e.best.body, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) o left join counts c on c.conv_id is not distinct from o.conv_id
+left join pairs p on p.conv_id is not distinct from o.conv_id left join ended e on e.conv_id is not distinct from o.conv_id"""
