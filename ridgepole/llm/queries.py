@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridgepole.llm import counts, forest, jaccard, langid, mixing, near, packing, quotes, repeats, shards, sql, transducer, turns
+from ridgepole.llm import counts, forest, jaccard, langid, mixing, near, packing, phrases, quotes, repeats, shards, sql, transducer, turns
 from ridgepole.llm.common import stored
 from ridgepole.session import scratch_dir
 
@@ -166,6 +166,12 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases of two and three words."""
+    return phrases.Collocations(table(spark, sf_dir, "documents"), least=10).top(2000)
+
+
 @query
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the multilingual ranks and decoded again."""

@@ -182,3 +182,24 @@ select o.conv_id, coalesce(c.gaps, 0)::bigint as gaps, coalesce(c.blank, 0) as b
     sha256(coalesce(array_to_string(e.best.body, chr(10)), '')) as repaired_sha256
 from (select distinct conv_id from conversations) o left join counts c on c.conv_id is not distinct from o.conv_id
 left join pairs p on p.conv_id is not distinct from o.conv_id left join ended e on e.conv_id is not distinct from o.conv_id"""
+
+ORACLE["op12_collocations"] = r"""
+with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (select lang, 1 as size, unnest(w) as gram from words
+    union all select lang, 2, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) from words
+    union all select lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) from words),
+counts as (select lang, size, gram, count(*) as f from grams group by all),
+candidates as (select *, string_split(gram, ' ') as p from counts where size > 1 and f >= 10),
+cuts as (select *, unnest(range(1, size)) as k from candidates),
+scored as (select c.lang, c.size, c.gram, c.f, c.p, l.f as l, r.f as r, c.k, (1000000::hugeint * c.f * c.f) // (l.f::hugeint * r.f) as score
+    from cuts c join counts l on l.lang = c.lang and l.gram = array_to_string(c.p[1:c.k], ' ') and l.size = c.k
+    join counts r on r.lang = c.lang and r.gram = array_to_string(c.p[c.k + 1:], ' ') and r.size = c.size - c.k),
+lowest as (select * from scored qualify row_number() over (partition by lang, gram, size order by score, k) = 1),
+parts as (select lang, f, unnest([p[1] || ' ' || p[2], p[2] || ' ' || p[3]]) as gram from candidates where size = 3),
+inside as (select distinct c.lang, c.gram from candidates c join parts d on d.lang = c.lang and d.gram = c.gram and c.size = 2 where 100 * d.f >= 50 * c.f),
+stays as (select * from lowest s where not exists (select 1 from inside i where i.lang = s.lang and i.gram = s.gram and s.size = 2)),
+totals as (select lang, count(*) as n from grams where size = 1 group by lang),
+ranked as (select *, row_number() over (partition by lang order by score desc, f desc, gram) as rank from stays)
+select lang, rank, gram as phrase, f as a, l, r, n, score::bigint as score from ranked join totals using (lang) where rank <= 2000"""
