@@ -9,23 +9,20 @@ from pyspark.sql import functions as F
 
 from ridgepole.operators import columns as cols
 from ridgepole.operators.expand import explode_range
-from ridgepole.operators.running import BLOCK, block_of
+from ridgepole.operators.running import rank_blocks
 
 
-def missing_ranges(df: DataFrame, keys: Sequence[str], number: str, block: int = BLOCK) -> DataFrame:
+def missing_ranges(df: DataFrame, keys: Sequence[str], number: str, blocks: int | None = None) -> DataFrame:
     """Runs of missing whole numbers per key: ``gap_start``, ``gap_end`` (inclusive).
 
-    Distinct numbers are compared with their neighbour inside blocks of ``block``
-    consecutive values, so no window exceeds that size; a second pass over each block's
-    least and greatest value finds the runs that span blocks.
+    Distinct numbers are compared with their neighbour inside blocks of equal rank ranges,
+    so a window holds a task's share of them whether they are dense or far apart; a second
+    pass over each block's least and greatest value, at most ``blocks`` rows for each key,
+    finds the runs that span blocks.
     """
     k = [cols.col(x) for x in keys]
-    numbers = (
-        df.where(cols.col(number).isNotNull())
-        .select(*k, cols.col(number).cast("bigint").alias("_n"))
-        .distinct()
-        .withColumn("_block", block_of(F.col("_n"), block))
-    )
+    distinct = df.where(cols.col(number).isNotNull()).select(*k, cols.col(number).cast("bigint").alias("_n")).distinct()
+    numbers = rank_blocks(distinct, keys, "_n", blocks)
     inside = Window.partitionBy(*k, "_block").orderBy("_n")
     near = numbers.select(*k, F.lag("_n").over(inside).alias("_prev"), F.col("_n").alias("_next"))
     ends = numbers.groupBy(*k, "_block").agg(F.min("_n").alias("_next"), F.max("_n").alias("_last"))

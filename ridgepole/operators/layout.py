@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ridgepole.functions import text
 from ridgepole.operators import columns as cols
-from ridgepole.operators.running import BLOCK, Total, running_totals
+from ridgepole.operators.running import Total, running_totals
 
 
 @dataclass(frozen=True)
@@ -87,7 +87,7 @@ def usable_fields(df: DataFrame, name: str = "Field Name", width: str = "Field W
 
 
 def describe_fields(
-    df: DataFrame, keys: Sequence[str], order: str, separator_width: int = 1, block: int = BLOCK
+    df: DataFrame, keys: Sequence[str], order: str, separator_width: int = 1, blocks: int | None = None
 ) -> DataFrame:
     """Final name and start position of every field, for many documents at once.
 
@@ -107,7 +107,7 @@ def describe_fields(
             Total([*keys, "_base"], F.lit(1), "_nth"),
             Total(keys, F.col("column_width") + F.lit(separator_width), "column_start", inclusive=False),
         ],
-        block,
+        blocks,
     )
     numbered = F.concat(F.col("_base"), F.lit("_"), F.col("_nth").cast("string"))
     unique = F.when(F.col("_nth") > 1, numbered).otherwise(F.col("_base")).alias("column_name")

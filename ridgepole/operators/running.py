@@ -1,4 +1,9 @@
-"""Running totals that do not gather a whole group in one task."""
+"""Running totals that do not gather a whole group in one task.
+
+Rows are cut into blocks by rank, not by value: a range partitioning deals them to a given
+number of tasks by sampled bounds, so a block holds a task's share of the rows however far
+apart the numbers lie and however many of them one key has.
+"""
 
 from __future__ import annotations
 
@@ -8,10 +13,26 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridgepole.operators import columns as cols
+from ridgepole.session import scratch_dir
+
+
+def rank_blocks(df: DataFrame, keys: Sequence[str], order: str, blocks: int | None = None) -> DataFrame:
+    """Add ``_block``: ascending in (``keys``, ``order``), with about as many rows in each.
 
-BLOCK = 1 << 16
+    A key has at most ``blocks`` of them (the session's shuffle partitions unless given),
+    which bounds every window over a key's blocks.  The rows are stored in the shared
+    scratch folder: bounds are sampled anew whenever a plan runs, and all that is made of
+    the blocks must see the same ones, also after an executor is lost.
+    """
+    spark = df.sparkSession
+    number = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [cols.col(k).asc_nulls_first() for k in keys] + [cols.col(order).asc_nulls_first()]
+    path = scratch_dir(spark, "rank-blocks")
+    df.repartitionByRange(number, *by).withColumn("_block", F.spark_partition_id()).write.parquet(path)
+    return spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_block", T.IntegerType())])).parquet(path)
 
 
 def with_join_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -26,11 +47,6 @@ def same_keys(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def block_of(number: Column, block: int) -> Column:
-    """First number of the block a whole number lies in (exact for any bigint)."""
-    return number - F.pmod(number, F.lit(block).cast("bigint"))
-
-
 @dataclass(frozen=True)
 class Total:
     """Sum of ``value`` within ``keys`` up to the current row, or up to the one before it."""
@@ -41,17 +57,18 @@ class Total:
     inclusive: bool = True
 
 
-def running_totals(df: DataFrame, order: str, totals: Sequence[Total], block: int = BLOCK) -> DataFrame:
-    """Add running totals by ``order``, a whole number that is unique within each key.
+def running_totals(df: DataFrame, order: str, totals: Sequence[Total], blocks: int | None = None) -> DataFrame:
+    """Add running totals by ``order``, which is unique within each key.
 
-    Rows are cut into blocks of ``block`` consecutive numbers, so a window never holds
-    more rows than that however large its key; the per-block sums, one row per block,
-    are then accumulated and joined back.  All per-block sums are partial aggregates
-    over the input itself, so several totals do not pile up on each other's plans.
+    Rows are cut into blocks of equal rank ranges by the keys that all totals share, so a
+    window holds a task's share of the rows however large its key; the per-block sums, at
+    most ``blocks`` for each key, are then accumulated and joined back.  All per-block sums
+    are partial aggregates over the stored blocks, so several totals do not pile up on each
+    other's plans.
     """
-    number = cols.col(order).cast("bigint")
+    shared = [k for k in totals[0].keys if all(k in t.keys for t in totals)]
     values = [t.value.cast("bigint").alias(f"_v{i}") for i, t in enumerate(totals)]
-    cut = df.select("*", block_of(number, block).alias("_block"), *values)
+    cut = rank_blocks(df.select("*", *values), shared, order, blocks)
     result = cut
     for i, t in enumerate(totals):
         parts = [*t.keys, "_block"]

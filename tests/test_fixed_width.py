@@ -136,7 +136,7 @@ def test_dictionary_file(spark, tmp_path):
 def test_describe_fields_across_blocks(spark):
     data = [("d1" if i % 3 else "d2", i, "x" if i % 2 else f"n{i % 5}", (i * 7) % 9 + 1) for i in range(1, 200)]
     df = spark.createDataFrame(data, "doc string, ord bigint, `Field Name` string, `Field Width` int")
-    got = describe_fields(usable_fields(df, keep=("doc", "ord")), ["doc"], "ord", block=8)
+    got = describe_fields(usable_fields(df, keep=("doc", "ord")), ["doc"], "ord", blocks=8)
     want, cursor, seen = [], {}, {}
     for doc, ord_, name, width in data:
         start = cursor.get(doc, 0)

@@ -25,6 +25,7 @@ from ridgepole.operators.rules import (
     apply_rules,
     before,
 )
+from ridgepole.operators.running import Total, rank_blocks, running_totals
 from ridgepole.operators.union import common_type, union_relaxed, union_strict
 
 
@@ -242,8 +243,8 @@ def test_keep_first_and_last(spark):
     assert rows(keep_last(df, ["k"], ["o"])) == [(None, 1, "n"), ("a", 2, "x"), ("b", 3, "z")]
 
 
-@pytest.mark.parametrize("block", [1, 4, 1 << 16])
-def test_gaps_against_brute_force(spark, block):
+@pytest.mark.parametrize("blocks", [1, 4, 40])
+def test_gaps_against_brute_force(spark, blocks):
     rng = random.Random(5)
     data = [(rng.choice("ab"), rng.choice([None, rng.randint(-40, 40), rng.randint(1000, 1010)])) for _ in range(60)]
     df = spark.createDataFrame(data, "k string, n bigint")
@@ -251,7 +252,7 @@ def test_gaps_against_brute_force(spark, block):
     for k in "ab":
         have = {n for key, n in data if key == k and n is not None}
         want += [(k, n) for n in range(min(have), max(have) + 1) if n not in have]
-    ranges = missing_ranges(df, ["k"], "n", block)
+    ranges = missing_ranges(df, ["k"], "n", blocks)
     assert sorted(map(tuple, missing_numbers(ranges, ["k"]).collect())) == sorted(want)
     for r in missing_preview(ranges, ["k"]).collect():
         mine = [n for k, n in want if k == r["k"]]
@@ -270,6 +271,36 @@ def test_gaps_of_huge_numbers(spark):
     assert [r[1] for r in missing_numbers(missing_ranges(df, ["k"], "n"), ["k"]).orderBy("missing").collect()] == [2**60 + 1, 2**60 + 2]
 
 
+def test_blocks_hold_equal_shares_of_numbers_far_apart(spark):
+    """Half of all rows under one key, 70,000 apart: neither window may hold much more than a task's share."""
+    n = 60_000
+    far = spark.range(n).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k"), (F.col("id") * 70_000).alias("v"))
+    cut = rank_blocks(far, ["k"], "v", blocks=16)
+    sizes = [r["count"] for r in cut.groupBy("_block").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * n / 16
+    groups = cut.groupBy("k", "_block").agg(F.count("*").alias("rows")).agg(F.max("rows"), F.count("*")).first()
+    assert groups[0] < 3 * n / 16 and groups[1] < 26 + 16  # rows of the first window; all rows of the second, over all keys
+    # within a key, blocks and numbers go up together
+    spans = cut.where("k = 0").groupBy("_block").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("_block").collect()
+    assert all(a["hi"] < b["lo"] for a, b in zip(spans, spans[1:])) and len(spans) >= 7
+    ranges = missing_ranges(far, ["k"], "v", blocks=16)
+    assert ranges.count() == n - 26
+    assert ranges.where("k = 0").agg(F.sum(F.col("gap_end") - F.col("gap_start") + 1)).first()[0] == (n // 2 - 1) * 139_999
+
+
+def test_running_totals_across_blocks_and_null_keys(spark):
+    data = [(None if i % 5 == 0 else "a", i * 90_001, i % 7) for i in range(500)]
+    df = spark.createDataFrame(data, "k string, o bigint, v int")
+    got = running_totals(df, "o", [Total(["k"], F.col("v"), "upto"), Total(["k"], F.lit(1), "before", inclusive=False)], blocks=9)
+    upto, count, want = {}, {}, []
+    for k, o, v in data:
+        upto[k] = upto.get(k, 0) + v
+        want.append((k, o, v, upto[k], count.get(k, 0)))
+        count[k] = count.get(k, 0) + 1
+    assert rows(got) == rows(spark.createDataFrame(want, "k string, o bigint, v int, a bigint, b bigint"))
+    assert running_totals(df.where("false"), "o", [Total([], F.lit(1), "n")]).count() == 0
+
+
 def test_explode_range_pieces(spark):
     df = spark.createDataFrame([(0, 200_000), (5, 3), (None, 1), (7, 7)], "s bigint, e bigint")
     out = explode_range(df, "s", "e", "n", spread=True)
