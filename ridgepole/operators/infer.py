@@ -31,6 +31,17 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str
     return {n: _KINDS[row[i] or 0] for i, n in enumerate(names)}
 
 
+def infer_types_by(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> dict[str, dict[str, str]]:
+    """``infer_types`` of the rows of each value of ``key``, in one pass: a row of kinds for each.
+
+    For keys of which there are few, such as the files of one scan.
+    """
+    names = list(columns or [n for n, t in df.dtypes if t == "string" and n != key])
+    kinds = df.select(cols.col(key).alias("_key"), *[_kind(cols.col(n)).alias(f"k{i}") for i, n in enumerate(names)])
+    widest = kinds.groupBy("_key").agg(*[F.max(f"k{i}").alias(f"k{i}") for i in range(len(names))])
+    return {r["_key"]: {n: _KINDS[r[f"k{i}"] or 0] for i, n in enumerate(names)} for r in widest.toLocalIterator()}
+
+
 def _lenient(c: Column, kind: str) -> Column:
     return F.when(text.plain_number(c), c).try_cast(kind) if kind in ("double", "float") else c.try_cast(kind)
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import posixpath
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import lru_cache
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,19 +20,25 @@ from ridgepole.operators.dictionary import ORDINALS, combine_tables
 from ridgepole.operators.fixed_width import parse_lines, parse_lines_inferred
 from ridgepole.operators.gaps import missing_preview, missing_ranges
 from ridgepole.operators.halves import outer_join_halves
-from ridgepole.operators.infer import infer_types, with_types
+from ridgepole.operators.infer import infer_types, infer_types_by, with_types
 from ridgepole.operators.keys import fill_from_yearly, tract_key_by_vintage
-from ridgepole.operators.layout import Layout, infer_layout
+from ridgepole.operators.layout import Layout, describe_fields, infer_layout, usable_fields
 from ridgepole.operators.resolve import dictionary_catalog, pending_files, resolve_dictionaries, years_between
 from ridgepole.operators.rules import apply_rules
 from ridgepole.operators.union import common_type, union_relaxed
 from ridgepole.plans import rule_tables
-from ridgepole.session import scratch_dir, tune
+from ridgepole.session import remove_dir, scratch_dir, tune
 from ridgepole.sources import archives, files, sinks, tables
 from ridgepole.sources.text_lines import read_lines
 
 log = logging.getLogger(__name__)
 
+_FILE = "_source_file"
+
+
+def _file_key(path: str) -> str:
+    return hashlib.md5("/".join(path.split("/")[-2:]).encode()).hexdigest()
+
 
 @dataclass(frozen=True)
 class Converted:
@@ -116,6 +123,8 @@ class LoanFiles:
         if not self.options.overwrite_dictionaries and all(files.exists(self.spark, f"{base}.{f}") for f in sinks.FORMATS):
             return None
         combined = combine_tables(table_shapes)
+        if combined.select(ORDINALS[0]).distinct().limit(2).count() > 1:
+            raise ValueError("the tables of more than one document; see write_dictionaries")
         # one file: its lines are the order of the fields, and a dictionary is as long as a record is wide
         ordered = combined.drop(*ORDINALS).repartition(1).sortWithinPartitions(cols.col("Field #"))
         for fmt in formats:
@@ -125,12 +134,70 @@ class LoanFiles:
             log.warning("%s skips %d field numbers, first %s", stem, row["missing_count"], row["missing"])
         return gaps
 
+    def write_dictionaries(
+        self,
+        table_shapes: Sequence[DataFrame],
+        years_list: list[int] | None = None,
+        min_year: int | None = None,
+        max_year: int | None = None,
+        formats: Iterable[str] = sinks.FORMATS,
+    ) -> DataFrame:
+        """Normalise the extracted tables of all documents of all years and store them, in one job a format.
+
+        The rows name their ``year`` and ``doc``; tables of different documents may differ in
+        their columns.  Each document becomes one sorted file under
+        ``store.<format>/year=<year>/document=<doc>``, with the order of its fields in a column of
+        its own: a document goes to one task, and is as long as a record is wide.  Documents
+        that are stored in both forms stay unless overwriting is on; others are replaced
+        whole, so a job that is run again leaves the same.  Reports each document's number of
+        fields and its numbering gaps.
+        """
+        wanted = [years_between(t, "year", years_list, min_year, max_year) for t in table_shapes]
+        if not self.options.overwrite_dictionaries:
+            there = self.stored_documents()
+            wanted = [t.join(there, (t["year"] == there["_year"]) & (t["doc"] == there["_doc"]), "left_anti") for t in wanted]
+        combined = combine_tables(wanted, within=("year",), relaxed=True)
+        rest = [cols.col(n) for n in combined.columns if n not in {"year", "Field #", *ORDINALS}]
+        fields = combined.select(
+            cols.col("Field #").cast("bigint").alias(tables.FIELD_ORDER), cols.col("Field #"), *rest, F.col("year").cast("int").alias("year"), F.col("doc").alias("document")
+        )
+        kept = sinks.write_table(fields, scratch_dir(self.spark, "dictionaries") + "/fields")
+        fields = self.spark.read.parquet(kept)
+        keys = ["year", "document"]
+        ordered = fields.repartition(*keys).sortWithinPartitions(*keys, tables.FIELD_ORDER)
+        for fmt in formats:
+            sinks.write_partitions(ordered, tables.store_path(self.data.dictionaries, fmt), keys, fmt)
+        gaps = missing_preview(missing_ranges(fields, keys, tables.FIELD_ORDER), keys)
+        counts = fields.groupBy(*keys).agg(F.count("*").alias("n_fields"))
+        return counts.join(gaps, keys, "left").withColumn("missing_count", F.coalesce("missing_count", F.lit(0)))
+
+    def stored_documents(self) -> DataFrame:
+        """``_year, _doc`` of the documents that the store holds in both forms."""
+        listed = self.available_dictionaries().where(F.col("dictionary_path").rlike(rf"/{tables.STORE}\.\w+/"))
+        both = listed.groupBy("dictionary_year", "dictionary_name").agg(F.countDistinct("format").alias("n")).where(F.col("n") == len(sinks.FORMATS))
+        return both.select(F.col("dictionary_year").alias("_year"), F.regexp_replace("dictionary_name", "_combined$", "").alias("_doc"))
+
+    def layouts(self, fmt: str = "parquet", separator_width: int = 1) -> DataFrame:
+        """Names, widths and start positions of the fields of every stored document, in one job."""
+        keys = ("year", "document")
+        fields = usable_fields(tables.read_store(self.spark, self.data.dictionaries, fmt), keep=(*keys, tables.FIELD_ORDER))
+        return describe_fields(fields, keys, tables.FIELD_ORDER, separator_width)
+
     def available_dictionaries(self) -> DataFrame:
-        """Dictionaries under ``<root>/<year>``; a Parquet one may be a folder of parts."""
+        """Dictionaries under ``<root>/<year>`` and in the store; a Parquet one may be a folder of parts."""
         listed = files.list_files(self.spark, f"{self.data.dictionaries}/*")
         # the parts of a table folder all stand for the folder
         whole = F.regexp_replace("path", r"(\.(?:parquet|csv))/[^/]*$", "$1")
-        return dictionary_catalog(listed.select(whole.alias("path")).distinct())
+        single = dictionary_catalog(listed.select(whole.alias("path")).distinct())
+        pattern = rf"^(.*/{tables.STORE}\.(csv|parquet)/year=(\d+)/document=([^/]+))/[^/]+$"
+        part = lambda n: F.regexp_extract("path", pattern, n)
+        stored = listed.where(F.col("path").rlike(pattern)).select(
+            part(3).cast("int").alias("dictionary_year"),
+            F.concat(F.url_decode(F.replace(part(4), F.lit("+"), F.lit("%2B"))), F.lit("_combined")).alias("dictionary_name"),
+            part(2).alias("format"),
+            part(1).alias("dictionary_path"),
+        )
+        return single.union(stored.distinct())
 
     def resolve_years(
         self,
@@ -188,45 +255,135 @@ class LoanFiles:
     ) -> list[Converted]:
         """Convert every raw file that has a dictionary to ``<clean>/<year>/<stem>.parquet``.
 
-        Each file is one job without a shuffle, its lines spread over the cluster; the
-        driver only keeps several jobs in flight.  One bad file does not stop the rest.
-        A target counts as done only once its write has committed.
+        Files of one layout are one job, however many they are: one scan and one write without
+        a shuffle, dealt into a folder for each file, which is then moved to its place and
+        marked.  Only where such a job fails, its files are converted one by one, so one bad
+        file does not stop the rest.  Inferred types are those of each file's own values, read
+        in one more pass over a layout's files; files of equal types are then one job.
+        A target counts as done only once it is marked.  Of files with one target (``a.txt``
+        and ``a.TXT``) the first by path is converted.
         """
         found = self.resolve_years(years_list, min_year, max_year, prefer)
         if not self.options.overwrite:
             found = pending_files(found, self.converted_catalog())
-
-        @lru_cache(maxsize=None)
-        def layout_of(path: str) -> Layout:
-            return tables.read_layout(self.spark, path, separator_width=separator_width)
-
-        def convert(row) -> Converted:
-            target = f"{self.data.clean}/{row['year']}/{row['stem']}.parquet"
+        # as many rows as there are files
+        rows = [r.asDict() for r in found.orderBy("year", "stem", "path").toLocalIterator()]
+        known = self.read_layouts({r["dictionary_path"] for r in rows if r["dictionary_path"] is not None}, separator_width)
+        done: dict[str, Converted] = {}
+        targets: set[str] = set()
+        batches: dict[Layout, list[dict]] = {}
+        for row in rows:
+            row["target"] = f"{self.data.clean}/{row['year']}/{row['stem']}.parquet"
+            layout = known.get(row["dictionary_path"])
             if row["dictionary_path"] is None:
                 log.warning("no dictionary for %s", row["path"])
-                return Converted(row["path"], target, "no dictionary")
+                done[row["path"]] = Converted(row["path"], row["target"], "no dictionary")
+            elif row["target"] in targets:
+                done[row["path"]] = Converted(row["path"], row["target"], "same target")
+            elif isinstance(layout, Exception):
+                done[row["path"]] = self._failed(row, layout)
+            else:
+                targets.add(row["target"])
+                batches.setdefault(layout.typed(types or {}), []).append(row)
+
+        def convert(batch: tuple[Layout, list[dict]]) -> list[Converted]:
+            layout, rows = batch
             try:
-                lines = read_lines(self.spark, row["path"], encoding)
-                layout = layout_of(row["dictionary_path"])
-                parsed = parse_lines_inferred(lines, layout) if infer else parse_lines(lines, layout.typed(types or {}))
-                sinks.write_new(self.spark, parsed, target, overwrite=True)
+                for typed, same in (self._inferred(layout, rows, encoding) if infer else {layout: rows}).items():
+                    self._convert(typed, same, encoding)
             except Exception as problem:  # reported per file, the others go on
-                log.error("converting %s failed: %s", row["path"], problem)
-                return Converted(row["path"], target, "failed", str(problem).split("\n")[0])
-            return Converted(row["path"], target, "written")
+                if len(rows) == 1:
+                    return [self._failed(rows[0], problem)]
+                log.warning("converting %d files together failed, they go one by one: %s", len(rows), problem)
+                return [c for row in rows for c in convert((layout, [row]))]
+            return [Converted(row["path"], row["target"], "written") for row in rows]
+
+        with ThreadPoolExecutor(self.options.parallel_jobs) as pool:
+            for result in pool.map(convert, batches.items()):
+                done.update({c.source: c for c in result})
+        return [done[row["path"]] for row in rows]
+
+    def _failed(self, row: dict, problem: Exception) -> Converted:
+        log.error("converting %s failed: %s", row["path"], problem)
+        return Converted(row["path"], row["target"], "failed", str(problem).split("\n")[0])
+
+    def _lines_by_file(self, rows: Sequence[dict], encoding: str) -> DataFrame:
+        """Lines of several files in one scan, each with a hash of its file's name, which no folder name has to escape."""
+        lines = read_lines(self.spark, [r["path"] for r in rows], encoding)
+        path = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
+        return lines.withColumn(_FILE, F.md5(F.regexp_extract(path, r"([^/]*/[^/]*)$", 1).cast("binary")))
+
+    def _inferred(self, layout: Layout, rows: Sequence[dict], encoding: str) -> dict[Layout, list[dict]]:
+        """Files by the types of their own values, all read in one pass."""
+        as_text = parse_lines(self._lines_by_file(rows, encoding), layout.typed(dict.fromkeys(layout.names, "string")), keep=(_FILE,))
+        types, empty = infer_types_by(as_text, _FILE, layout.names), dict.fromkeys(layout.names, "double")
+        found: dict[Layout, list[dict]] = {}
+        for row in rows:
+            found.setdefault(layout.typed(types.get(_file_key(row["path"]), empty)), []).append(row)
+        return found
+
+    def _convert(self, layout: Layout, rows: Sequence[dict], encoding: str) -> None:
+        """Files of one layout, read and written together; each ends in its own marked folder."""
+        parsed = parse_lines(self._lines_by_file(rows, encoding), layout, keep=(_FILE,))
+        staged = scratch_dir(self.spark, "converted")
+        sinks.write_partitions(parsed, staged, [_FILE])
+        try:
+            for row in rows:
+                folder = f"{staged}/{_FILE}={_file_key(row['path'])}"
+                if files.exists(self.spark, folder):
+                    files.publish(self.spark, folder, row["target"])
+                else:  # a file without records
+                    sinks.write_new(self.spark, parsed.where("false").drop(_FILE), row["target"], overwrite=True)
+        finally:
+            remove_dir(self.spark, staged)
+
+    def read_layouts(self, paths_wanted: Iterable[str], separator_width: int = 1) -> dict[str, Layout | Exception]:
+        """Layouts of dictionaries by path, those of a store in one job; an unreadable one gives its error."""
+        found: dict[str, Layout | Exception] = {}
+        wanted = sorted(paths_wanted)
+        for fmt in sinks.FORMATS:
+            root = f"/{tables.STORE}.{fmt}/"
+            inside = {p: p.rsplit("/", 2) for p in wanted if root in p}
+            if not inside:
+                continue
+            fields = usable_fields(tables.read_store(self.spark, self.data.dictionaries, fmt), keep=("year", "document", tables.FIELD_ORDER))
+            years_wanted = sorted({int(y.removeprefix("year=")) for _, y, _ in inside.values()})
+            by_document: dict[tuple, list] = {}
+            # as many rows as the wanted years' records have fields
+            for r in fields.where(F.col("year").isin(years_wanted)).orderBy("year", "document", tables.FIELD_ORDER).toLocalIterator():
+                by_document.setdefault((r["year"], r["document"]), []).append((r["column_name"], r["column_width"]))
+            for path, (_, year, document) in inside.items():
+                pairs = by_document.get((int(year.removeprefix("year=")), unquote(document.removeprefix("document="))), [])
+                try:
+                    found[path] = Layout.of(pairs, separator_width)
+                except ValueError as problem:
+                    found[path] = problem
+
+        def read(path: str) -> Layout | Exception:
+            try:
+                return tables.read_layout(self.spark, path, separator_width=separator_width)
+            except Exception as problem:  # reported per file
+                return problem
 
+        rest = [p for p in wanted if p not in found]
         with ThreadPoolExecutor(self.options.parallel_jobs) as pool:
-            return list(pool.map(convert, found.orderBy("year", "stem").toLocalIterator()))
+            found.update(zip(rest, pool.map(read, rest)))
+        return found
+
+    def status_table(self, done: Sequence[Converted]) -> DataFrame:
+        """One row for each file of a conversion: year, stem, source, target, status, detail."""
+        rows = [(c.source, c.target, c.status, c.detail) for c in done]
+        listed = self.spark.createDataFrame(rows, "source string, target string, status string, detail string")
+        year = F.regexp_extract("target", r"([^/]+)/[^/]+$", 1).cast("int")
+        return listed.select(year.alias("year"), paths.stem(F.col("target")).alias("stem"), *listed.columns)
 
     def converted_catalog(self) -> DataFrame:
         """Year and stem of the committed tables under the clean root."""
-        # the commit marker is hidden from listings, so probe it per table folder
-        listed = files.list_files(self.spark, f"{self.data.clean}/*/*.parquet", recursive=False)
-        folder = listed.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("folder")).distinct()
-        done = [(r["folder"],) for r in folder.toLocalIterator() if files.is_complete(self.spark, r["folder"])]
-        return self.spark.createDataFrame(done, "folder string").select(
-            F.regexp_extract("folder", r"([^/]+)/[^/]+$", 1).cast("int").alias("year"),
-            paths.stem(F.col("folder")).alias("stem"),
+        done = [(p,) for p in files.glob(self.spark, f"{self.data.clean}/*/*.parquet/_SUCCESS")]
+        folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+        return self.spark.createDataFrame(done, "path string").select(
+            F.regexp_extract(folder, r"([^/]+)/[^/]+$", 1).cast("int").alias("year"),
+            paths.stem(folder).alias("stem"),
         )
 
     # --- combination ---

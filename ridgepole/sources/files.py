@@ -21,6 +21,29 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, hidden names included, by one request to the file system."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
+    return [] if found is None else [status.getPath().toString() for status in found]
+
+
+def publish(spark: SparkSession, folder: str, target: str) -> None:
+    """Move a written folder to its place and mark it complete; what lay there goes.
+
+    A target without the mark counts as unfinished, so a job that dies in between only
+    leaves work to be done again.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    source, place = path(folder), path(target)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(place, True)
+    system.mkdirs(place.getParent())
+    if not system.rename(source, place):
+        raise OSError(f"{folder} could not be moved to {target}")
+    system.create(path(f"{target}/_SUCCESS"), True).close()
+
+
 def list_files(spark: SparkSession, folder: str, recursive: bool = True) -> DataFrame:
     """Path, length and time of the files under a folder; empty if there is no such folder.
 

@@ -37,6 +37,17 @@ def write_new(spark: SparkSession, df: DataFrame, path: str, overwrite: bool) ->
     return True
 
 
+def write_partitions(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet") -> str:
+    """A folder for each value of ``by``; those that ``df`` holds are replaced, the others stay."""
+    if fmt not in FORMATS:
+        raise ValueError(f"unsupported output format {fmt!r}; use one of {FORMATS}")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+    if fmt == "csv":
+        writer = writer.option("header", True).option("escape", '"')
+    writer.format(fmt).save(path)
+    return path
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = "|", overwrite: bool = True, compression: str = "gzip") -> str:
     """Delimited text, compressed unless told otherwise, one part file per task."""
     (

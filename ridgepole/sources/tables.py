@@ -17,13 +17,22 @@ from ridgepole.operators.layout import Layout, collect_layout, usable_fields
 from ridgepole.sources import files
 
 
+#: Folder of a store of many dictionaries: ``store.<format>/year=<year>/document=<name>``.
+STORE = "store"
+_STORED = re.compile(rf"/{STORE}\.(csv|parquet)/year=")
+#: Column that holds the order of a stored dictionary's fields.
+FIELD_ORDER = "field_order"
+
+
 def read_dictionary(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """A parsed data dictionary, in file order (``_order``).
+    """A parsed data dictionary, in the order of its fields (``_order``).
 
     Cells hold line breaks, so the CSV form is read whole-record; a dictionary is one
-    small file and one task reads it.
+    small file and one task reads it.  Fields come in file order; a dictionary of a store
+    names their order itself.
     """
-    kind = (fmt or posixpath.splitext(path)[1].lstrip(".")).lower()
+    stored = _STORED.search(path)
+    kind = (fmt or (stored.group(1) if stored else posixpath.splitext(path)[1].lstrip("."))).lower()
     if kind == "csv":
         df = (
             spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
@@ -32,6 +41,8 @@ def read_dictionary(spark: SparkSession, path: str, fmt: str | None = None) -> D
         df = spark.read.parquet(path)
     else:
         raise ValueError(f"a dictionary is csv or parquet, not {kind!r}")
+    if FIELD_ORDER in df.columns:
+        return df.withColumn("_order", F.col(FIELD_ORDER).cast("bigint")).drop(FIELD_ORDER)
     # of several part files the names give the order, inside a file the rows; a dictionary
     # is as long as a record is wide, so one window holds it
     placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"))
@@ -39,6 +50,25 @@ def read_dictionary(spark: SparkSession, path: str, fmt: str | None = None) -> D
     return placed.withColumn("_order", (F.row_number().over(in_order) - 1).cast("bigint")).drop("_file", "_at")
 
 
+def store_path(root: str, fmt: str) -> str:
+    return f"{root}/{STORE}.{fmt}"
+
+
+def read_store(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """All dictionaries of a store, with ``year`` and ``document``.
+
+    Document names stay text, whatever they look like; filters on the two are answered by
+    the folders' names.
+    """
+    reader = spark.read
+    if fmt == "csv":
+        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+    found = reader.format(fmt).load(store_path(root, fmt)).schema
+    kinds = {"document": T.StringType(), "year": T.IntegerType(), FIELD_ORDER: T.LongType()}
+    schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])
+    return reader.schema(schema).format(fmt).load(store_path(root, fmt))
+
+
 def read_layout(
     spark: SparkSession,
     path: str,
