@@ -43,7 +43,8 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str], fmt: str = "pa
         raise ValueError(f"unsupported output format {fmt!r}; use one of {FORMATS}")
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        # blanks of a cell stay: a blank name is not a missing one
+        writer = writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.format(fmt).save(path)
     return path
 

@@ -16,6 +16,7 @@ from ridgepole.sources import archives, files, links, sinks, tables
 from ridgepole.sources.tables import read_layout
 from ridgepole.sources.text_lines import read_lines
 from ridgepole.streaming.incremental import convert_new, parsed_stream
+from ridgepole.streaming.mixed import convert_mixed
 
 HEADER = "Field #,Field Width,Field Name,Values,Description / Comments,NameNum\n"
 
@@ -137,6 +138,131 @@ def test_dictionary_store(spark, tmp_path):
     assert job.write_dictionary([raw], 2023, "2023_Single_Family_Census_Tract_File_C") is None
 
 
+def test_one_document_a_file(spark, tmp_path):
+    job = LoanFiles(spark, DataPaths.under(str(tmp_path)))
+    raw = spark.createDataFrame(
+        [(d, 1, 1, 1, "1", "Flag", "1") for d in ("d1", "d2")],
+        "doc string, page int, table_no int, row_no int, `Field #` string, `Field Name` string, `Field Width` string",
+    )
+    with pytest.raises(ValueError, match="write_dictionaries"):
+        job.write_dictionary([raw], 2023, "2023_Single_Family_Census_Tract_File_C")
+
+
+def test_store_of_many_documents(spark, tmp_path):
+    job = LoanFiles(spark, DataPaths.under(str(tmp_path)))
+    schema = "year int, doc string, page int, table_no int, row_no int, `Field #` string, `Field Name` string, `Field Width` string"
+    rows_of = lambda year, doc, *cells: [(year, doc, 1, 1, i, n, name, w) for i, (n, name, w) in enumerate(cells)]
+    first = spark.createDataFrame(
+        [
+            *rows_of(2019, "2019_Single_Family_National_File_A", ("2-3", "Race 1-2", "2"), ("1", "Fl ag", "1"), ("12", " x, y:z ", "7"), ("1", "again", "9")),
+            *rows_of(2020, "007", ("1", "Flag", "1"), ("4", "  ", "3")),
+            *rows_of(1980, "old", ("1", "Flag", "1")),
+        ],
+        schema,
+    )
+    other = spark.createDataFrame(rows_of(2020, "b c+d%e", ("1", None, "5")), schema).withColumn("Notes", F.lit("two\nlines"))
+    report = {(r.year, r.document): (r.n_fields, r.missing_count, r.missing) for r in job.write_dictionaries([first, other], min_year=1990).collect()}
+    assert report == {
+        (2019, "2019_Single_Family_National_File_A"): (4, 8, list(range(4, 12))),
+        (2020, "007"): (2, 2, [2, 3]),
+        (2020, "b c+d%e"): (1, 0, None),
+    }
+    want = [
+        (2019, "2019_Single_Family_National_File_A", 1, "Fl ag", 1, 0),
+        (2019, "2019_Single_Family_National_File_A", 2, "Race 1", 2, 2),
+        (2019, "2019_Single_Family_National_File_A", 3, "Race 2", 2, 5),
+        (2019, "2019_Single_Family_National_File_A", 12, "x, y:z", 7, 8),
+        (2020, "007", 1, "Flag", 1, 0),
+        (2020, "007", 4, "unnamed", 3, 2),
+        (2020, "b c+d%e", 1, "None", 5, 0),
+    ]
+    for fmt in ("csv", "parquet"):
+        found = job.layouts(fmt).select("year", "document", "field_order", "column_name", "column_width", "column_start")
+        assert rows(found) == sorted(want, key=lambda r: tuple(map(str, r)))
+    offered = {(r.dictionary_year, r.dictionary_name, r.format): r.dictionary_path for r in job.available_dictionaries().collect()}
+    assert set(offered) == {(y, f"{d}_combined", f) for y, d in report for f in ("csv", "parquet")}
+    for fmt in ("csv", "parquet"):
+        path = offered[2019, "2019_Single_Family_National_File_A_combined", fmt]
+        wanted = Layout.of([("Fl ag", 1), ("Race 1", 2), ("Race 2", 2), ("x, y:z", 7)])
+        assert tables.read_layout(spark, path) == wanted and job.read_layouts({path}) == {path: wanted}
+    # stored documents stay, new ones come in; overwriting replaces whole documents
+    changed = spark.createDataFrame([*rows_of(2020, "007", ("1", "Other", "2")), *rows_of(2021, "new", ("1", "Flag", "1"))], schema)
+    assert [r.document for r in job.write_dictionaries([changed]).collect()] == ["new"]
+    replaced = LoanFiles(spark, job.data, LoadOptions(overwrite_dictionaries=True))
+    replaced.write_dictionaries([changed.where("year = 2020")])
+    assert rows(replaced.layouts().where("document = '007'").select("column_name")) == [("Other",)]
+    assert replaced.layouts().select("document").distinct().count() == 4
+
+
+def test_many_files_of_three_layouts(spark, tmp_path, monkeypatch):
+    """Two hundred files over years and kinds: as many write jobs as layouts, though every year has its own dictionaries."""
+    kinds = {"a": "Single_Family_National_File_A", "b": "Single_Family_National_File_B", "c": "Single_Family_Census_Tract_File_C"}
+    for year in range(2010, 2020):
+        for n, (letter, title) in enumerate(kinds.items(), 2):
+            fields = "".join(f"{i},3,f{i},,,\n" for i in range(1, n))
+            put(tmp_path / f"dictionaries/{year}/{year}_{title}_combined.csv", HEADER + fields)
+            for k in range(7 if letter != "c" else 6):
+                lines = "\n" if (year, letter, k) == (2012, "b", 3) else f"{k:3} {year % 1000:3} x\n" * (k + 1)
+                put(tmp_path / f"raw/{year}/fnma_sf{year}{letter} part+{k}%.txt", lines)
+    put(tmp_path / "raw/2015/FNMA_SF2015A PART+1%.txt", "  1\n")  # a target of its own: names are told apart by case
+    put(tmp_path / "raw/2015/fnma_sf2015a part+1%.TXT", "  9\n")
+    jobs, own = [], sinks.write_partitions
+    monkeypatch.setattr(sinks, "write_partitions", lambda df, path, *a: jobs.append(path) or own(df, path, *a))
+    done = LoanFiles(spark, DataPaths.under(str(tmp_path))).convert_all()
+    assert len(done) == 202 and len(jobs) == 3
+    assert sorted({c.status for c in done}) == ["same target", "written"] and sum(c.status == "same target" for c in done) == 1
+    for c in done:
+        assert os.path.exists(f"{c.target}/_SUCCESS")
+    three = spark.read.parquet(str(tmp_path / "clean/2013/fnma_sf2013c part+4%.parquet"))
+    assert three.columns == ["f1", "f2", "f3"] and rows(three) == [("4", "13", "x")] * 5
+    nothing = spark.read.parquet(str(tmp_path / "clean/2012/fnma_sf2012b part+3%.parquet"))
+    assert nothing.columns == ["f1", "f2"] and nothing.count() == 0
+    assert LoanFiles(spark, DataPaths.under(str(tmp_path))).convert_all() == []
+
+
+def test_a_failing_batch_goes_file_by_file(spark, release, tmp_path, monkeypatch):
+    put(tmp_path / "raw/2019/other_sf2019c_loans.txt", "3 002    5\n")
+    own, sizes = LoanFiles._convert, []
+
+    def convert(self, layout, rows, encoding):
+        sizes.append(len(rows))
+        if any("fhlmc" in r["path"] for r in rows):
+            raise OSError("lost its disk")
+        own(self, layout, rows, encoding)
+
+    monkeypatch.setattr(LoanFiles, "_convert", convert)
+    status = {c.source.rsplit("/", 1)[1]: (c.status, c.detail) for c in LoanFiles(spark, release).convert_all(years_list=[2019])}
+    assert status == {"fhlmc_sf2019c_loans.TXT": ("failed", "lost its disk"), "fnma_sf2019c_loans.txt": ("written", ""), "other_sf2019c_loans.txt": ("written", "")}
+    assert sorted(sizes) == [1, 1, 1, 3]
+
+
+def test_mixed_stream_runs_a_batch_again(spark, release, tmp_path):
+    """A batch that died after writing is run again: its records are there once."""
+    job = LoanFiles(spark, release)
+
+    def run(checkpoint):
+        convert_mixed(
+            spark, f"{release.raw}/*", job.available_dictionaries, job.read_layouts, f"{tmp_path}/out", f"{tmp_path}/{checkpoint}", {"Amount": "double"}, glob="*.{txt,TXT}"
+        ).awaitTermination()
+
+    def found():
+        whole = spark.read.option("mergeSchema", True).parquet(f"{tmp_path}/out/Single_Family_Census_Tract_File_C-*/batch_id=*")
+        return rows(whole.select("source_file", "year", "Amount"))
+
+    run("first")
+    want = [
+        ("fhlmc_sf2019c_loans.TXT", 2019, 7.5), ("fhlmc_sf2019c_loans.TXT", 2019, 9.0),
+        ("fnma_sf2019c_loans.txt", 2019, 100.0), ("fnma_sf2019c_loans.txt", 2019, None), ("fnma_sf2020c_loans.txt", 2020, 300.0),
+        ("fnma_sf2020c_loans.txt", 2020, None),  # the one in the folder misc
+    ]
+    assert found() == rows(spark.createDataFrame(want, "f string, y int, a double"))
+    run("second")  # a lost checkpoint gives batch 0 again
+    assert found() == rows(spark.createDataFrame(want, "f string, y int, a double"))
+    lost = spark.read.parquet(f"{tmp_path}/out/without_dictionary/batch_id=*")
+    assert {r.source_file for r in lost.collect()} == {"fnma_mf2020b_loans.txt"}
+    assert len(os.listdir(tmp_path / "out")) == 3  # one kind in two layouts, and what was lost
+
+
 def test_archives(spark, tmp_path):
     zips = tmp_path / "zips"
     zips.mkdir()
