@@ -178,7 +178,7 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path, docs = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = transducer.decode(transducer.encode(docs, path, public_tokenizers.PATTERN), path, keep_ids=True)
+    coded = transducer.round_trip(docs, path, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),

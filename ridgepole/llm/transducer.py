@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from ridgepole.llm import hashes
 
 STATES = 1 << 17
-WORDS = 1 << 17
+WORDS = 1 << 18
 #: Pieces cut at a time, ids decoded at a time, and bytes of ids in one batch of rows.
 BLOCK = 1 << 16
 BYTES = 1 << 25
@@ -360,27 +360,34 @@ def decode_text(ids: bytes, tokens: Tokens) -> Iterator[str]:
     yield machine.close()
 
 
-def _replaced(rows: DataFrame, source: str, out: str, kind: str, make) -> DataFrame:
-    """Put ``make``'s value of the column ``source`` in a column ``out``, in batches of bounded size."""
-    keep = [c for c in rows.columns if c not in {source, out}]
+def _mapped(rows: DataFrame, source: str, outs: dict[str, str], make) -> DataFrame:
+    """Put ``make``'s values of the column ``source`` in its place, in batches of bounded size."""
+    keep = [c for c in rows.columns if c != source and c not in outs]
     given = rows.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{source}`").alias("_given"))
+    kinds = [pa.binary() if kind == "binary" else pa.string() for kind in outs.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # what a task keeps has no cycles, and looking for them takes longer than the work
-        value = make()
-        kinds = {"binary": pa.binary(), "string": pa.string()}[kind]
+        values = make()
         for batch in batches:
             held, first, size = [], 0, 0
             for i, x in enumerate(batch.column(len(keep))):
-                held.append(value(x.as_py()))
-                size += len(held[-1] or b"")
+                held.append(values(x.as_py()))
+                size += sum(len(v) for v in held[-1] if v)
                 if size > BYTES or i + 1 == batch.num_rows:
                     part = batch.slice(first, len(held))
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(held, kinds)], names=[*keep, out])
+                    made = [pa.array(column, kind) for column, kind in zip(zip(*held), kinds)]
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names=[*keep, *outs])
                     held, first, size = [], i + 1, 0
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1]]
-    return given.mapInArrow(run, ", ".join([*fields, f"`{out}` {kind}"]))
+    return given.mapInArrow(run, ", ".join([*fields, *[f"`{name}` {kind}" for name, kind in outs.items()]]))
+
+
+def _encoder(ranks_path: str, pattern: str, by_word: bool):
+    own = transducer(ranks_path)
+    cut, split = own.by_word if by_word else own.whole, regex.compile(pattern)
+    return lambda given: cut(given or "", split)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "ids", by_word: bool = True) -> DataFrame:
@@ -390,25 +397,38 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
     """
 
     def make():
-        own = transducer(ranks_path)
-        cut, split = own.by_word if by_word else own.whole, regex.compile(pattern)
-        return lambda given: cut(given or "", split)
+        ids = _encoder(ranks_path, pattern, by_word)
+        return lambda given: (ids(given),)
 
-    return _replaced(docs, text, out, "binary", make)
+    return _mapped(docs, text, {out: "binary"}, make)
 
 
-def decode(docs: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded", as_text: bool = False, keep_ids: bool = False) -> DataFrame:
-    """Replace ids by the bytes they stand for, or by their text; ``keep_ids`` leaves the ids too."""
+def decode(docs: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded", as_text: bool = False) -> DataFrame:
+    """Replace ids by the bytes they stand for, or by their text."""
 
     def make():
         tokens = Tokens(read_ranks(ranks_path))
 
-        def value(given: bytes | None):
+        def values(given: bytes | None):
             if given is None:
-                return None
-            return "".join(decode_text(given, tokens)) if as_text else b"".join(tokens.blocks(given))
+                return (None,)
+            return ("".join(decode_text(given, tokens)) if as_text else b"".join(tokens.blocks(given)),)
+
+        return values
+
+    return _mapped(docs, ids, {out: "string" if as_text else "binary"}, make)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", by_word: bool = True) -> DataFrame:
+    """Replace the text by its ids and the bytes these decode to, in one pass over the rows."""
+
+    def make():
+        own, tokens = _encoder(ranks_path, pattern, by_word), Tokens(read_ranks(ranks_path))
+
+        def values(given: str | None):
+            coded = own(given)
+            return coded, b"".join(tokens.blocks(coded))
 
-        return value
+        return values
 
-    rows = docs.withColumn("_ids", F.col(f"`{ids}`")) if keep_ids else docs
-    return _replaced(rows, "_ids" if keep_ids else ids, out, "binary" if not as_text else "string", make)
+    return _mapped(docs, text, {ids: "binary", decoded: "binary"}, make)
