@@ -14,7 +14,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_every_operator_is_registered():
-    assert {re.match(r"op(\d+)_", name)[1] for name in QUERIES} == {str(i) for i in range(1, 11)}
+    assert {re.match(r"op(\d+)_", name)[1] for name in QUERIES} == {str(i) for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
@@ -68,3 +68,17 @@ def test_stages_of_empty_and_odd_tables(spark, sf_dir, tmp_path):
     rows = [(1, None, None, None, None), (None, "words without an id", "en", None, 1), (2, "", "en", "a", 0), (2, "same id, other words", None, "a", None), (2, "same id, other words", "en", "a", None), (3, "123 !", "en", "a", 5)]
     counts = [t.count() for t in _stages(spark, spark.createDataFrame(rows, schema), sf_dir, tmp_path / "odd")]
     assert counts[:4] == [6, 3, 2, 2]
+
+
+def test_clean_texts_under_repeated_ids_stay(spark, sf_dir):
+    """Removal is by id and text: a copy goes, other texts of its id stay, equal rows are folded."""
+    say = lambda word: " ".join(f"{word}{i}" for i in range(40))
+    rows = [(3, say("a")), (7, say("a")), (7, say("b")), (9, say("c")), (9, say("d")), (9, say("d")), (11, say("e") + " more"), (11, say("e")), (None, say("a")), (12, None), (12, ""), (12, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.near_duplicates(spark, docs, sf_dir).select("doc_id", "text").collect()
+    found = Counter((r.doc_id, r.text) for r in kept)
+    of_eleven = [t for i, t in found if i == 11]
+    assert len(of_eleven) == 1 and of_eleven[0] in (say("e"), say("e") + " more")
+    assert {k: n for k, n in found.items() if k[0] != 11} == {
+        (3, say("a")): 1, (7, say("b")): 1, (9, say("c")): 1, (9, say("d")): 1, (None, say("a")): 1, (12, None): 1, (12, ""): 1,
+    }
