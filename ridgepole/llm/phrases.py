@@ -55,8 +55,8 @@ NONE = 0
 #: Bits of the bitmap of words that are often enough.
 BITS = 26
 #: Bytes of texts that a task cuts into words at a time, and grams that it counts at a time.
-BYTES = 1 << 22
-GRAMS = 1 << 21
+BYTES = 1 << 20
+GRAMS = 3 << 19
 #: A word is hot if it makes up this part of all occurrences.
 HOT = 1000
 SALTS = 64
