@@ -132,13 +132,9 @@ def combined_label(spark, sf_dir):
         F.when(F.col("o_orderstatus") == "F", "fnma").otherwise("fhlmc").alias("who"),
     )
     spans = orders.groupBy("o_orderpriority").agg(
-        F.min("y").alias("low"), F.max("y").alias("high"), F.array_sort(F.collect_set("who")).alias("who")
-    )
-    label = F.concat(
-        text.file_label(F.concat(F.lit("sfYYYY "), "o_orderpriority")),
-        F.lit("_"), F.col("low").cast("string"), F.lit("-"), F.col("high").cast("string"),
-        F.lit("_"), F.array_join("who", "-"), F.lit(".parquet"),
+        F.min("y").alias("low"), F.max("y").alias("high"), F.collect_set("who").alias("who")
     )
+    label = text.combined_label(F.concat(F.lit("sfYYYY "), "o_orderpriority"), F.col("low"), F.col("high"), F.col("who"), "parquet")
     return spans.select("o_orderpriority", label.alias("label"))
 
 

@@ -67,6 +67,16 @@ def file_label(c: Column) -> Column:
     return F.regexp_replace(c, r"[^A-Za-z0-9_\-]", "_")
 
 
+def combined_label(kind: Column, lowest: Column, highest: Column, enterprises: Column, fmt: str) -> Column:
+    """File name of a combined table: kind, span of years and enterprises, joined by ``_``.
+
+    Fixed value: the format, ``sfYYYYc_2018-2023_fhlmc-fnma.parquet``; without years the
+    span reads ``all``.
+    """
+    span = F.coalesce(F.concat(lowest.cast("string"), F.lit("-"), highest.cast("string")), F.lit("all"))
+    return F.concat(F.concat_ws("_", file_label(kind), span, F.array_join(F.array_sort(F.array_distinct(enterprises)), "-")), F.lit(f".{fmt}"))
+
+
 def _number_start(c: Column) -> Column:
     """Signs, points, digits and blanks all sort before the colon, letters after it.
 

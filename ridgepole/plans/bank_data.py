@@ -6,6 +6,7 @@ import datetime
 import posixpath
 import re
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,24 +29,46 @@ def clean_acquisitions(df: DataFrame, file_year: int, names: Mapping[str, str],
     return apply_rules(renamed, rule_tables.acquisition_rules(file_year, changed), drop=("Year",))
 
 
-def harmonise_members(sheet: DataFrame, file_name: str, as_of: datetime.date) -> DataFrame:
-    """One quarterly sheet: header spelling, provenance, date repair."""
-    found = re.match(r"[^Q]*Q(\d)(\d{4})", file_name)
-    if not found:
-        raise ValueError(f"{file_name!r} does not name a quarter")
-    quarter, year = int(found.group(1)), int(found.group(2))
-    named = cols.rename_by_map(cols.respell(sheet, text.upper_words), rule_tables.MEMBER_NAMES)
-    tagged = cols.tag(named, **{"SOURCE FILE": file_name, "YEAR": year, "QUARTER": quarter})
-    if (year, quarter) < rule_tables.TEXT_DATES_FROM:
-        return tagged
-    limit = F.lit(as_of)
+def repair_member_dates(df: DataFrame, as_of: datetime.date) -> DataFrame:
+    """Dates of sheets that give them as text with two-digit years; none lies after ``as_of``."""
     readers = {"APPROVAL DATE": dates.strict_date, "MEM DATE": dates.lenient_date}
     repaired = {
-        name: dates.not_after(dates.two_digit_year(read(cols.col(name), "M/d/yy")), limit)
+        name: dates.not_after(dates.two_digit_year(read(cols.col(name), "M/d/yy")), F.lit(as_of))
         for name, read in readers.items()
-        if name in tagged.columns
+        if name in df.columns
     }
-    return tagged.withColumns(repaired)
+    return df.withColumns(repaired)
+
+
+def quarter_of(file_name: str) -> tuple[int, int]:
+    """``(year, quarter)`` in a sheet's name."""
+    found = re.match(r"[^Q]*Q(\d)(\d{4})", file_name)
+    if not found:
+        raise ValueError(f"{file_name!r} does not name a quarter")
+    return int(found.group(2)), int(found.group(1))
+
+
+def named_members(sheet: DataFrame) -> DataFrame:
+    return cols.rename_by_map(cols.respell(sheet, text.upper_words), rule_tables.MEMBER_NAMES)
+
+
+def harmonise_members(sheet: DataFrame, file_name: str, as_of: datetime.date) -> DataFrame:
+    """One quarterly sheet: header spelling, provenance, date repair."""
+    year, quarter = quarter_of(file_name)
+    tagged = cols.tag(named_members(sheet), **{"SOURCE FILE": file_name, "YEAR": year, "QUARTER": quarter})
+    return tagged if (year, quarter) < rule_tables.TEXT_DATES_FROM else repair_member_dates(tagged, as_of)
+
+
+def harmonise_member_sheets(sheets: DataFrame, as_of: datetime.date, text_dates: bool) -> DataFrame:
+    """Quarterly sheets of one header, told apart by ``_file``, all before or all since dates became text."""
+    name = F.url_decode(F.replace(paths.base_name(F.col("_file")), F.lit("+"), F.lit("%2B")))
+    own = [n for n in sheets.columns if n != "_file"]
+    renamed = named_members(sheets.select(*[cols.col(n) for n in own]))
+    tagged = sheets.select(
+        *[cols.col(n).alias(new) for n, new in zip(own, renamed.columns)],
+        name.alias("SOURCE FILE"), years.quarter_year_in_name(name).alias("YEAR"), years.quarter_in_name(name).alias("QUARTER"),
+    )
+    return repair_member_dates(tagged, as_of) if text_dates else tagged
 
 
 class BankData:
@@ -124,13 +147,19 @@ class BankData:
     ) -> str | None:
         """One pipe-separated table of all quarterly sheets."""
         limit = as_of or datetime.date.today()
-        frames = []
-        for path in self.member_sheets(data_folder, min_year, max_year):
-            name = posixpath.basename(path)
-            sheet = tables.read_sheet(self.spark, path, skip_rows.get(posixpath.splitext(name)[0], 0))
-            frames.append(harmonise_members(sheet, name, limit))
-        if not frames:
+        found = self.member_sheets(data_folder, min_year, max_year)
+        if not found:
             return None
+        bare = lambda p: unquote(posixpath.basename(p))
+        titles = {bare(p): skip_rows.get(posixpath.splitext(bare(p))[0], 0) for p in found}
+        # sheets before and since dates became text are read apart
+        since = {p: quarter_of(bare(p)) >= rule_tables.TEXT_DATES_FROM for p in found}
+        frames = []
+        for text_dates in (False, True):
+            own = [p for p in found if since[p] == text_dates]
+            for first, same in tables.read_sheets(self.spark, own, titles) if own else []:
+                frames.append((first[0], harmonise_member_sheets(same, limit, text_dates)))
+        frames = [frame for _, frame in sorted(frames, key=lambda f: found.index(f[0]))]
         combined = cols.drop_unnamed(union_relaxed(frames))
         return sinks.write_delimited(combined, f"{save_folder}/fhlb_members_combined_{min_year}-{max_year}.csv.gz")
 

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgepole.functions import paths, text
 from ridgepole.operators import columns as cols
-from ridgepole.operators.infer import infer_types, with_types
+from ridgepole.operators.infer import infer_types_by, with_types
 from ridgepole.operators.union import union_relaxed
 from ridgepole.sources import files, sinks, tables
 
 
+# Fixed value: title rows above the header of every limits sheet.
+TITLE_ROWS = 1
+
+
 def limit_year(name: Column) -> Column:
     return F.nullif(F.regexp_extract(name, r"^FullCountyLoanLimitList(\d{4})_HERA", 1), F.lit("")).cast("int")
 
@@ -35,11 +41,21 @@ class LoanLimits:
     def combine(self, data_folder: str, save_folder: str, min_year: int = 2011, max_year: int = 2024) -> str | None:
         listing = files.list_files(self.spark, data_folder, recursive=False)
         chosen = first_path_per_year(listing).where(F.col("year").between(min_year, max_year))
+        # one row for each year
+        sheets = [r["path"] for r in chosen.orderBy("year").toLocalIterator()]
+        titles = {unquote(p).rsplit("/", 1)[-1]: TITLE_ROWS for p in sheets}
         frames = []
-        for row in chosen.orderBy("year").toLocalIterator():
-            sheet = tables.read_sheet(self.spark, row["path"], skip_rows=1)
-            typed = with_types(sheet, infer_types(sheet))
-            frames.append(harmonise_limits(typed, row["year"]))
+        for _, same in tables.read_sheets(self.spark, sheets, titles) if sheets else []:
+            year = limit_year(paths.base_name(F.col("_file"))).alias("Year")
+            names = [n for n in same.columns if n != "_file"]
+            # types are those of each sheet's own values; sheets of equal types stay together
+            types = infer_types_by(same, "_file", names)
+            by_types: dict[tuple, list[str]] = {}
+            for file, own in types.items():
+                by_types.setdefault(tuple(own.items()), []).append(file)
+            for own, of in by_types.items():
+                part = with_types(same.where(F.col("_file").isin(of)), dict(own))
+                frames.append(cols.respell(part.select(*[cols.col(n) for n in names], year), text.one_line))
         if not frames:
             return None
         target = f"{save_folder}/conforming_loan_limits_{min_year}-{max_year}.csv.gz"

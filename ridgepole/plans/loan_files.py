@@ -83,15 +83,16 @@ class LoanFiles:
 
     # --- archives ---
 
-    def unpack_archives(self, zip_folder: str) -> DataFrame:
+    def unpack_archives(self, zip_folder: str, containing: Sequence[str] | None = None) -> DataFrame:
         """Unpack text records under raw and dictionaries under dictionaries, by year.
 
+        ``containing`` keeps the members whose names hold one of these texts.
         Existing targets stay unless overwriting is on; then of two members with one
         target the last wins.  The work is done here, once; the result reports every
         member (``copied`` with its bytes, or ``failed``) and every ``unreadable`` archive.
         """
         listed = archives.list_members(self.spark, zip_folder)
-        members = archives.routed_members(listed, last=self.options.overwrite)
+        members = archives.routed_members(archives.members_containing(listed, containing), last=self.options.overwrite)
         root = F.when(F.col("route") == "raw", F.lit(self.data.raw)).otherwise(F.lit(self.data.dictionaries))
         targets = members.withColumn("target", F.concat_ws("/", root, F.col("year"), F.col("base_name")))
         for kind, folder, replace in (
@@ -421,7 +422,7 @@ class LoanFiles:
             wanted = [y for y in wanted if low <= y <= high]
         found = tables.converted_paths(self.spark, self.data.clean, pattern, chosen, wanted)
         low, high = (min(wanted), max(wanted)) if wanted else (None, None)
-        target = output_path or f"{self.data.clean}/combined/{sinks.combined_name(pattern, low, high, chosen, fmt)}"
+        target = output_path or f"{self.data.clean}/combined/{sinks.combined_name(self.spark, pattern, low, high, chosen, fmt)}"
         return sinks.write_table(self.combined(pattern, found), target, fmt)
 
     # --- split and yearly delimited releases ---
@@ -472,6 +473,31 @@ class LoanFiles:
         name = posixpath.basename(path)
         return cols.tag(parsed, Year=int(name.split("_mf")[1].split("c_")[0]))
 
+    def combine_multifamily_archives(
+        self, zip_folder: str, save_folder: str, archive_holds: str = "MFCensus", containing: Sequence[str] = ("loans.txt",)
+    ) -> str:
+        """All multifamily records in the archives of a folder, as one table.
+
+        The wanted members are unpacked side by side to the scratch folder, each under its
+        archive and place, so members of one name do not replace each other.  Members that
+        cannot be read are logged and left out; without any readable one it is an error.
+        """
+        listed = archives.list_members(self.spark, zip_folder).where(paths.base_name(F.col("archive")).contains(archive_holds))
+        folder = scratch_dir(self.spark, "multifamily")
+        base = paths.base_name(F.col("member"))
+        target = F.concat_ws("/", F.lit(folder), F.md5(F.col("archive").cast("binary")), F.col("position").cast("string"), base)
+        wanted = archives.members_containing(listed, containing).withColumn("target", target)
+        report = sinks.write_table(archives.unpack(wanted).union(archives.unreadable(listed)), f"{folder}/report")
+        # one row for each yearly file
+        outcome = self.spark.read.parquet(report).orderBy("archive", "target").collect()
+        for row in outcome:
+            if row["status"] != "copied":
+                log.warning("%s of %s left out: %s", row["member"], row["archive"], row["detail"])
+        found = [r["target"] for r in outcome if r["status"] == "copied"]
+        if not found:
+            raise FileNotFoundError(f"no readable member of {zip_folder} holds one of {list(containing)}")
+        return self.combine_multifamily(found, save_folder)
+
     def combine_multifamily(self, source_paths: Sequence[str], save_folder: str) -> str:
         whole = union_relaxed([self.load_multifamily(p) for p in source_paths])
         return sinks.write_delimited(whole, f"{save_folder}/combined_multifamily.csv", compression="none")

@@ -10,7 +10,8 @@ from __future__ import annotations
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,6 +67,12 @@ def members_of(archives: DataFrame) -> DataFrame:
     return spread(archives.select("path"), F.col("path")).mapInPandas(_read_directories, MEMBERS)
 
 
+def members_containing(members: DataFrame, texts: Sequence[str] | None) -> DataFrame:
+    """Members whose names hold one of ``texts``, as written; all of them without any."""
+    named = members.where(F.col("member").isNotNull())
+    return named if not texts else named.where(reduce(lambda a, b: a | b, [F.col("member").contains(t) for t in texts]))
+
+
 def route(member: Column) -> Column:
     """Dictionaries and raw records by suffix; anything else is not wanted."""
     kind = paths.extension(member)

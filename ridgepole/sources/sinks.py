@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ridgepole.functions import text
 from ridgepole.operators import columns as cols
 from ridgepole.operators.union import union_strict
 from ridgepole.sources import files
@@ -62,12 +63,11 @@ def write_delimited(df: DataFrame, path: str, sep: str = "|", overwrite: bool =
     return path
 
 
-def combined_name(pattern: str, lowest: int | None, highest: int | None, enterprises: Iterable[str], fmt: str) -> str:
-    """``sfYYYYc_2018-2023_fhlmc-fnma.parquet`` for the requested years."""
-    kind = re.sub(r"[^A-Za-z0-9_\-]", "_", pattern.replace("{year}", "YYYY"))
-    span = "all" if lowest is None or highest is None else f"{lowest}-{highest}"
-    who = "-".join(sorted(set(enterprises))) or "both"
-    return f"{kind}_{span}_{who}.{fmt}"
+def combined_name(spark: SparkSession, pattern: str, lowest: int | None, highest: int | None, enterprises: Sequence[str], fmt: str) -> str:
+    """Name of the combined table of a pattern such as ``sf{year}c``."""
+    years = [F.lit(y).cast("int") for y in (lowest, highest)]
+    label = text.combined_label(F.lit(pattern.format(year="YYYY")), *years, F.lit(list(enterprises)), fmt)
+    return spark.range(1).select(label).first()[0]
 
 
 def write_hive(

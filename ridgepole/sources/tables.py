@@ -6,9 +6,12 @@ import csv
 import io
 import posixpath
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,24 +105,91 @@ def read_name_map(spark: SparkSession, path: str) -> dict[str, str]:
     return {str(r[0]): str(r[1]) for r in rows}
 
 
-def read_sheet(spark: SparkSession, path: str, skip_rows: int = 0) -> DataFrame:
-    """One exported worksheet whose header follows ``skip_rows`` title rows.
+ROW = "_row"
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number the records of each file from 0; ``_file`` comes first.
 
-    Headers may hold line breaks.  A worksheet is bounded (about a million rows) and its
-    quoted cells may span lines, so one task reads one sheet; many sheets run side by
-    side once combined.  All columns are text.
+    A file of whole records is read by one task from its start, one file after the other.
     """
-    reader = spark.read.option("multiLine", True).option("escape", '"')
+    name, number = None, 0
+    for batch in batches:
+        files_here = batch.column(0)
+        for first, stop in _runs(files_here):
+            if files_here[first].as_py() != name:
+                name, number = files_here[first].as_py(), 0
+            part = batch.slice(first, stop - first)
+            rows = pa.array(range(number, number + stop - first), pa.int64())
+            yield pa.RecordBatch.from_arrays([*part.columns, rows], names=[*part.schema.names, ROW])
+            number += stop - first
+
+
+def _runs(values: pa.Array) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of equal values."""
+    if len(values):
+        coded = values.dictionary_encode().indices.to_numpy()
+        ends = [*(np.flatnonzero(np.diff(coded)) + 1).tolist(), len(values)]
+        yield from zip([0, *ends[:-1]], ends)
+
+
+def _numbered_records(spark: SparkSession, paths: Sequence[str], schema: T.StructType, corrupt: str | None = None) -> DataFrame:
+    reader = spark.read.option("multiLine", True).option("escape", '"').schema(schema)
+    if corrupt is not None:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    records = reader.csv(list(paths)).select(F.col("_metadata.file_path").alias("_file"), "*")
+    return records.mapInArrow(_numbered, T.StructType([*records.schema.fields, T.StructField(ROW, T.LongType())]))
+
+
+def _skipped(skip_rows: Mapping[str, int]) -> Column:
+    """Title rows of a record's file; ``skip_rows`` names only files that have some."""
+    titled = [(name, n) for name, n in skip_rows.items() if n]
+    if not titled:
+        return F.lit(0)
+    known = F.create_map(*[F.lit(x) for pair in titled for x in pair])
+    base = F.regexp_extract(F.url_decode(F.replace("_file", F.lit("+"), F.lit("%2B"))), r"([^/]*)$", 1)
+    return F.coalesce(F.try_element_at(known, base), F.lit(0))
+
+
+def read_sheets(spark: SparkSession, paths: Sequence[str], skip_rows: Mapping[str, int] | None = None) -> list[tuple[list[str], DataFrame]]:
+    """Exported worksheets by header: sheets of equal headers are one scan, however many they are.
+
+    ``skip_rows`` gives the title rows above the header by file name.  One pass over all
+    sheets reads their header records (the driver gets one for each sheet); then each
+    signature is one scan with the columns' names, all text, and ``_file``.  Headers may
+    hold line breaks.  A worksheet is bounded (about a million rows) and its quoted cells
+    may span lines, so one task reads one sheet, and many sheets are read side by side.
+    Returned in the order of each signature's first path, with its paths.
+    """
+    skipped = _skipped(skip_rows or {})
     # with one declared column, the text of every wider record lands in the second
-    records = reader.schema("_first string, _record string").option("columnNameOfCorruptRecord", "_record").csv(path)
-    header = records.withColumn("_row", F.monotonically_increasing_id()).where(F.col("_row") == skip_rows).first()
-    if header is None:
-        raise ValueError(f"{path} has no header row after {skip_rows} rows")
-    given = next(csv.reader(io.StringIO(header["_record"]))) if header["_record"] is not None else [header["_first"]]
-    names = [name or f"Unnamed: {i}" for i, name in enumerate(given)]
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
-    rows = reader.schema(schema).csv(path).withColumn("_row", F.monotonically_increasing_id())
-    return rows.where(F.col("_row") > skip_rows).drop("_row").toDF(*names)
+    heads = _numbered_records(spark, paths, T.StructType().add("_first", "string").add("_record", "string"), "_record").where(F.col(ROW) == skipped)
+    found = {unquote(r["_file"]): r for r in heads.toLocalIterator()}
+    signatures: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        row = next((found[k] for k in (path, *_spellings(path)) if k in found), None)
+        if row is None:
+            raise ValueError(f"{path} has no header row after its title rows")
+        given = next(csv.reader(io.StringIO(row["_record"]))) if row["_record"] is not None else [row["_first"]]
+        signatures.setdefault(tuple(name or f"Unnamed: {i}" for i, name in enumerate(given)), []).append(path)
+    frames = []
+    for names, own in signatures.items():
+        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+        rows = _numbered_records(spark, own, schema).where(F.col(ROW) > skipped).drop(ROW)
+        frames.append((own, rows.select(*[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)], "_file")))
+    return frames
+
+
+def read_sheet(spark: SparkSession, path: str, skip_rows: int = 0) -> DataFrame:
+    """One exported worksheet whose header follows ``skip_rows`` title rows."""
+    ((_, sheet),) = read_sheets(spark, [path], {path.rsplit("/", 1)[-1]: skip_rows})
+    return sheet.drop("_file")
+
+
+def _spellings(path: str) -> list[str]:
+    """A local path as file listings and as file metadata write it."""
+    bare = re.sub(r"^file:/+", "/", path)
+    return [f"file://{bare}", f"file:{bare}"] if bare.startswith("/") else []
 
 
 def bank_export_name(year: int) -> str:

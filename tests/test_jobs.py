@@ -406,7 +406,8 @@ def test_write_formats(spark, tmp_path):
     sinks.write_table(spark.range(1), str(tmp_path / "x"))
     with pytest.raises(Exception, match="already exists"):
         sinks.write_table(spark.range(1), str(tmp_path / "x"), overwrite=False)
-    assert sinks.combined_name("mf{year}b_loans/x", None, None, [], "csv") == "mfYYYYb_loans_x_all_both.csv"
+    assert sinks.combined_name(spark, "mf{year}b_loans/x", None, None, ["fnma"], "csv") == "mfYYYYb_loans_x_all_fnma.csv"
+    assert sinks.combined_name(spark, "sf{year}c", 2018, 2020, ["fnma", "fhlmc", "fnma"], "parquet") == "sfYYYYc_2018-2020_fhlmc-fnma.parquet"
 
 
 def test_acquisitions(spark, tmp_path):
@@ -532,6 +533,41 @@ def test_multifamily_without_dictionary(spark, tmp_path):
     assert out.endswith("combined_multifamily.csv") and tables.read_delimited(spark, out).count() == 30
 
 
+def test_multifamily_archives(spark, tmp_path):
+    """Equal member names in two archives are both read; a damaged one and other members are left out."""
+    widths = [3 + i % 4 for i in range(len(rule_tables.MULTIFAMILY_NAMES))]
+    line = lambda n: " ".join(str((i + n) % 10 ** (w - 1) + 1).rjust(w) if n else "9" * w for i, w in enumerate(widths))
+    for archive, first in (("a_MFCensus2019.zip", 0), ("b_MFCensus2019.zip", 5), ("other.zip", 9)):
+        with zipfile.ZipFile(tmp_path / archive, "w") as packed:
+            packed.writestr("readme.txt", "no")
+            packed.writestr("in/fnma_mf2019c_loans.txt", "\n".join(line(n) for n in range(first, first + 5)) + "\n" + line(0))
+            packed.writestr("fnma_mf2020c_loans.txt", line(0))
+            packed.filelist[-1].CRC ^= 1
+    (tmp_path / "torn_MFCensus.zip").write_bytes(b"no archive")
+    job = LoanFiles(spark, DataPaths.under(str(tmp_path)))
+    found = tables.read_delimited(spark, job.combine_multifamily_archives(str(tmp_path), str(tmp_path / "out")))
+    assert found.columns == [*rule_tables.MULTIFAMILY_NAMES, "Year"]
+    assert found.count() == 12 and {r["Year"] for r in found.select("Year").collect()} == {"2019"}
+    with pytest.raises(FileNotFoundError):
+        job.combine_multifamily_archives(str(tmp_path), str(tmp_path / "out"), containing=["fnma_mf2020"])
+
+
+def test_sheets_by_header(spark, tmp_path):
+    """One scan for each header; title rows are skipped by file; a header that is missing is an error."""
+    put(tmp_path / "a b+c%.csv", 'T\n\n"k\nx",v\n1,"two\nlines"\n2,\n')
+    put(tmp_path / "b.csv", '"k\nx",v\n3,z\n')
+    put(tmp_path / "c.csv", "k,v,\n4,y,extra\n")
+    put(tmp_path / "d.csv", "only\n5\n")
+    put(tmp_path / "e.csv", "only\n")
+    listed = [r["path"] for r in files.list_files(spark, str(tmp_path)).orderBy("path").collect()]
+    found = tables.read_sheets(spark, listed, {"a b+c%.csv": 1, "b.csv": 0})
+    assert [(frame.columns, len(own)) for own, frame in found] == [(["k\nx", "v", "_file"], 2), (["k", "v", "Unnamed: 2", "_file"], 1), (["only", "_file"], 2)]
+    assert [rows(frame.drop("_file")) for _, frame in found] == [[("1", "two\nlines"), ("2", None), ("3", "z")], [("4", "y", "extra")], [("5",)]]
+    assert rows(tables.read_sheet(spark, listed[1])) == [("3", "z")]
+    with pytest.raises(ValueError, match="e.csv"):
+        tables.read_sheets(spark, listed, {"e.csv": 1})
+
+
 def test_incremental(spark, tmp_path):
     layout = Layout.of([("k", 2), ("v", 1)])
 
