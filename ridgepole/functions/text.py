@@ -29,12 +29,14 @@ MISSING_TOKENS = (
     "null",
 )
 
-_BLANKS = " \t\r\n"
+BLANKS = " \t\r\n"
+#: The same, as a class of a pattern.
+BLANK_CLASS = r" \t\r\n"
 
 
 def strip(c: Column) -> Column:
     """Drop blanks, tabs and line ends at both ends."""
-    return F.trim(c, F.lit(_BLANKS))
+    return F.trim(c, F.lit(BLANKS))
 
 
 def strip_blanks(c: Column) -> Column:
@@ -42,11 +44,6 @@ def strip_blanks(c: Column) -> Column:
     return F.trim(c, F.lit(" \t"))
 
 
-def starts_late(c: Column) -> Column:
-    """True when a line holds anything but blanks; only its left end is looked at."""
-    return F.ltrim(c, F.lit(_BLANKS)) != ""
-
-
 def plain_dashes(c: Column) -> Column:
     """En and em dashes become hyphens."""
     return F.translate(c, "–—", "--")

@@ -41,6 +41,25 @@ def _number(part: Column, field: Field, missing: tuple[str, ...]) -> Column:
     return value
 
 
+def _has_field(line: Column, layout: Layout, is_bytes: bool) -> Column:
+    """True when any field of a line holds more than blanks.
+
+    Mostly the first thing on a line stands in its first field, and only the left end is
+    looked at.  Else one pattern looks for a non-blank among the fields' places: what
+    stands between them or behind the last does not count.
+    """
+    fields = sorted((f for f in layout.fields if f.width > 0), key=lambda f: f.start)
+    if not fields:
+        return F.lit(False)
+    left = line.cast("string") if is_bytes else line
+    rest = F.ltrim(left, F.lit(text.BLANKS))
+    lead = F.octet_length(left) - F.octet_length(rest)  # blanks are single bytes
+    in_first = (lead >= fields[0].start) & (lead < fields[0].start + fields[0].width)
+    places = "|".join(f".{{{f.start},{f.start + f.width - 1}}}[^{text.BLANK_CLASS}]" for f in fields)
+    whole = F.decode(line, "ISO-8859-1") if is_bytes else line
+    return (rest != "") & (in_first | whole.rlike(f"^(?s:{places})"))
+
+
 def parse_lines(
     lines: DataFrame,
     layout: Layout,
@@ -51,7 +70,8 @@ def parse_lines(
     """Cut each line by ``layout``, strip, null blanks and missing tokens, cast leniently.
 
     ``value`` holds text, or the bytes of latin-1 lines (what ``read_lines`` gives, and
-    the faster form).  Blank lines are dropped; a line too short for a field gives null.
+    the faster form).  Lines whose fields are all blank are dropped; a line too short for a
+    field gives null.
     Everything is projection, so fields nobody selects are never cut out.
     """
     line = cols.col(value)
@@ -74,8 +94,7 @@ def parse_lines(
         return given if field.type == "string" else given.try_cast(field.type)
 
     kept = [cols.col(k) for k in keep]
-    not_blank = text.starts_late(line.cast("string") if is_bytes else line)
-    cut = lines.where(not_blank).select(*kept, *[first(f).alias(f.name) for f in layout.fields])
+    cut = lines.where(_has_field(line, layout, is_bytes)).select(*kept, *[first(f).alias(f.name) for f in layout.fields])
     # a second projection, so a stripped field is computed once though it is used twice
     return cut.select(*kept, *[second(f).alias(f.name) for f in layout.fields])
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,38 +125,45 @@ def collect_layout(df: DataFrame, order: str, separator_width: int = 1) -> Layou
     return Layout.of([(r["column_name"], r["column_width"]) for r in rows], separator_width)
 
 
-_WORD = 7  # bytes per mask: fits a bigint whatever the bytes are
-_BLANK_WORD = int("20" * _WORD, 16)
 _LATIN = "ISO-8859-1"
+#: Bytes of lines looked at together.
+_PIECE = 1 << 22
+
+
+def _used_positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The positions that any line of a task uses, once each."""
+    used = np.zeros(0, bool)
+    for batch in batches:
+        lines = batch.column(0).cast(pa.large_binary())
+        if not len(lines):
+            continue
+        offsets = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset : lines.offset + len(lines) + 1]
+        data = np.frombuffer(lines.buffers()[2] or b"", np.uint8)
+        longest = int(np.diff(offsets).max())
+        if longest > len(used):
+            used = np.concatenate([used, np.zeros(longest - len(used), bool)])
+        step = max(1, _PIECE // max(longest, 1))
+        for first in range(0, len(lines), step):
+            ends = offsets[first : first + step + 1]
+            part = data[ends[0] : ends[-1]]
+            # blanks and tabs separate; everything else uses its position
+            at = np.flatnonzero((part != 0x20) & (part != 0x09)) + ends[0]
+            used[at - ends[np.searchsorted(ends, at, side="right") - 1]] = True
+    yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(used))], names=["_pos"])
 
 
 def column_spans(lines: DataFrame, value: str = "value") -> DataFrame:
     """Find fields in undescribed text: runs of positions not blank in every line.
 
-    Lines are read as words of seven bytes.  A word differs from seven blanks in the bytes
-    that are used, and ``bit_or`` collects those over all lines on the map side.  So the
-    shuffle carries one number per word and task no matter how many lines there are, and
-    only line-length many rows remain after it.  Returns ``start`` and ``width`` per field.
+    Each task goes over the bytes of its lines as arrays, batch by batch, and hands on the
+    positions that are used: as many rows as a line is long, however many lines there are.
+    Returns ``start`` and ``width`` per field.
     """
     c = cols.col(value)
-    if isinstance(lines.schema[value].dataType, T.BinaryType):
-        tabbed = F.instr(c.cast("string"), "\t") > 0
-        raw = F.when(tabbed, F.encode(F.translate(F.decode(c, _LATIN), "\t", " "), _LATIN)).otherwise(c)
-    else:
+    if not isinstance(lines.schema[value].dataType, T.BinaryType):
         # one byte per character; which character it was does not matter
-        raw = F.encode(F.regexp_replace(F.translate(c, "\t", " "), "[^\\u0000-\\u00ff]", "x"), _LATIN)
-    count = F.floor((F.octet_length("_raw") + (_WORD - 1)) / F.lit(_WORD)).cast("int")
-    # no filter on empty lines here: it would be pushed down and compute the bytes twice
-    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1))
-    words = lines.select(raw.alias("_raw")).select("_raw", F.explode(numbers).alias("_word"))
-    part = F.hex(F.substring(F.col("_raw"), F.col("_word") * _WORD + 1, F.lit(_WORD)))
-    used = F.conv(F.rpad(part, 2 * _WORD, "20"), 16, 10).cast("bigint").bitwiseXOR(F.lit(_BLANK_WORD))
-    masks = words.groupBy("_word").agg(F.bit_or(used).alias("_bits"))
-    positions = (
-        masks.select("_word", "_bits", F.explode(F.sequence(F.lit(0), F.lit(_WORD - 1))).alias("_byte"))
-        .where(F.expr(f"(shiftright(_bits, 8 * ({_WORD - 1} - _byte)) & 255) != 0"))
-        .select((F.col("_word") * _WORD + F.col("_byte")).alias("_pos"))
-    )
+        c = F.encode(F.regexp_replace(c, "[^\\u0000-\\u00ff]", "x"), _LATIN)
+    positions = lines.select(c.alias("_raw")).mapInArrow(_used_positions, "_pos bigint").distinct()
     # one row per used position of a line: the group is as small as a line is long
     in_line = Window.partitionBy(F.lit(1)).orderBy("_pos")
     runs = positions.select("_pos", (F.col("_pos") - F.row_number().over(in_line)).alias("_run"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgepole.functions import paths, years
@@ -55,6 +55,15 @@ def with_signature(files: DataFrame, name: str = "file_name") -> DataFrame:
     )
 
 
+def signatures(spark: SparkSession) -> DataFrame:
+    """Every signature a file name with a year can have."""
+    each = lambda name, values: F.explode(F.array(*[F.lit(v) for v in values])).alias(name)
+    rows = spark.range(years.FIRST_YEAR, years.LAST_YEAR + 1).select(F.col("id").cast("int").alias("file_year"))
+    for name, values in (("family", ("sf", "mf", "")), ("letter", ("a", "b", "c", "d", "")), ("unit_file", (True, False))):
+        rows = rows.select("*", each(name, values))
+    return rows
+
+
 def candidate_names(strict: bool = False):
     """Candidate dictionary names of a signature, in order of preference."""
     chosen = None
@@ -86,17 +95,15 @@ def resolve_dictionaries(
 
     ``available`` has ``dictionary_year``, ``dictionary_name`` (``<year>_..._combined``
     stem), ``format`` and ``dictionary_path``.  The answer depends on the name signature
-    only, and there are at most 46 years x 3 families x 5 letters x 2 of those.  So the
-    candidates are matched once per signature, and that provably small table is what is
-    broadcast to the files; the files themselves are never shuffled.
+    only, and there are 46 years x 3 families x 5 letters x 2 of those, written down as
+    a table of constants.  So the candidates are matched once per signature, that small
+    table is what is broadcast to the files, and the files are read once and never shuffled.
     """
     if prefer not in {"csv", "parquet"}:
         raise ValueError("prefer must be csv or parquet")
     signed = with_signature(files, name)
     wanted = (
-        signed.select(*SIGNATURE)
-        .where(F.col("file_year").isNotNull())
-        .distinct()
+        signatures(files.sparkSession)
         .select(*SIGNATURE, F.posexplode(candidate_names(strict)).alias("_rank", "_name"))
         .select(
             *SIGNATURE,

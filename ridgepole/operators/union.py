@@ -32,7 +32,8 @@ def common_type(types: Sequence[T.DataType]) -> T.DataType:
         decimals = [t if isinstance(t, T.DecimalType) else T.DecimalType(20, 0) for t in numbers]
         scale = max(t.scale for t in decimals)
         digits = max(t.precision - t.scale for t in decimals)
-        return T.DecimalType(min(digits + scale, 38), scale)
+        # no decimal holds more than 38 digits; text holds all of them
+        return T.DecimalType(digits + scale, scale) if digits + scale <= 38 else T.StringType()
     if all(isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) for t in kinds):
         stamps = [t for t in kinds if not isinstance(t, T.DateType)]
         return stamps[0] if len(stamps) == 1 else T.TimestampType()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,7 +82,7 @@ def write_hive(
 
     The rebalance hint groups rows by partition value, so folders get few files, and the
     adaptive planner splits a value that is far larger than the rest instead of leaving
-    it to one task.
+    it to one task.  An old dataset goes only once the new one lies committed beside it.
     """
     if not sources:
         raise ValueError("at least one source is needed")
@@ -94,6 +95,7 @@ def write_hive(
     if files.exists(session, destination) and not overwrite:
         raise FileExistsError(f"{destination} exists; pass overwrite=True to replace it")
     keys = [cols.col(c) for c in partition_columns]
-    writer = whole.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*partition_columns).parquet(destination)
+    beside = f"{destination.rstrip('/')}.{uuid.uuid4().hex}.new"
+    whole.hint("rebalance", *keys).write.partitionBy(*partition_columns).parquet(beside)
+    files.publish(session, beside, destination)
     return destination

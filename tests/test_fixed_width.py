@@ -1,4 +1,5 @@
 import datetime
+import random
 from decimal import Decimal
 
 import pytest
@@ -8,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ridgepole.operators.fixed_width import format_lines, parse_lines, parse_lines_inferred
-from ridgepole.operators.layout import Layout, column_spans, describe_fields, infer_layout, usable_fields
+from ridgepole.operators.layout import Field, Layout, column_spans, describe_fields, infer_layout, usable_fields
 from ridgepole.sources.tables import read_layout
 from ridgepole.sources.text_lines import read_lines
 
@@ -159,6 +160,32 @@ def test_spans_longer_than_a_chunk(spark):
     assert rows(parse_lines(lines(spark, text[0]), layout)) == [("ab", "xyz", "q", None)]
 
 
+def test_lines_without_a_field_are_dropped(spark):
+    """What stands between the fields, or behind them, makes no record."""
+    layout = Layout.of([("a", 3), ("b", 3)])
+    text = ["   |   ", "       z", "   | x ", "x", "    \u00f1", " \t", "      y", "\u4e2d  |", "  \r", "     |  "]
+    want = [("x", None), (None, "\u00f1"), (None, "x"), (None, "y"), (None, "|"), ("\u4e2d", None)]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, parse_lines(lines(spark, *text), layout).collect()), key=key) == sorted(want, key=key)
+    latin = [t for t in text if "\u4e2d" not in t]
+    as_bytes = lines(spark, *latin).select(F.encode("value", "ISO-8859-1").alias("value"))
+    assert sorted(map(tuple, parse_lines(as_bytes, layout).collect()), key=key) == sorted(want[:-1], key=key)
+    late = Layout((Field("k", 4, 2), Field("z", 9, 0)))
+    assert rows(parse_lines(lines(spark, "abcd", "abcdef", "    e"), late)) == [("e", None), ("ef", None)]
+
+
+def test_spans_of_many_lines_and_odd_ones(spark):
+    """Random lines by every position, in one task and in many, and batches of empty lines."""
+    rng = random.Random(8)
+    text = ["".join(rng.choice("  \t xé中") for _ in range(rng.randint(0, 40))) for _ in range(300)] + ["", " "] * 5
+    used = sorted({i for t in text for i, c in enumerate(t) if c not in " \t"})
+    for parts in (1, 7):
+        spans = rows(column_spans(lines(spark, *text).repartition(parts)))
+        assert sorted(p for s, w in spans for p in range(s, s + w)) == used
+    assert column_spans(lines(spark, "", " ")).count() == 0
+    assert column_spans(lines(spark, "x").where("false")).count() == 0
+
+
 def test_only_selected_fields_are_cut(spark):
     layout = Layout.of([(f"f{i}", 2) for i in range(20)])
     plan = parse_lines(lines(spark, "x"), layout).select("f3")._jdf.queryExecution().optimizedPlan().toString()

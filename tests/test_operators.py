@@ -13,7 +13,7 @@ from ridgepole.operators.dedupe import keep_first, keep_last
 from ridgepole.operators.dictionary import combine_tables
 from ridgepole.operators.expand import expand_numbers, explode_range
 from ridgepole.operators.gaps import missing_numbers, missing_preview, missing_ranges
-from ridgepole.operators.halves import outer_join_halves
+from ridgepole.operators.halves import null_key_counts, outer_join_halves
 from ridgepole.operators.keys import fill_from_yearly, tract_key, tract_key_by_vintage
 from ridgepole.operators.prune import recent_subset
 from ridgepole.operators.resolve import resolve_dictionaries
@@ -45,6 +45,7 @@ def test_common_type():
     assert common_type([T.BooleanType(), i]) == i
     assert common_type([T.DateType(), T.TimestampType()]) == T.TimestampType()
     assert common_type([T.DecimalType(10, 2), b]) == T.DecimalType(22, 2)
+    assert common_type([T.DecimalType(38, 0), T.DecimalType(38, 18)]) == s  # 56 digits
     with pytest.raises(TypeError):
         common_type([T.DateType(), i])
 
@@ -359,6 +360,33 @@ def test_outer_join_halves_against_brute_force(spark, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
 
 
+def test_outer_join_shuffles_each_half_once(spark, tmp_path):
+    spark.range(50).selectExpr("id % 7 as k", "id as v").write.parquet(str(tmp_path / "l"))
+    spark.range(40).selectExpr("id % 5 as k", "id as w", "id as v").write.parquet(str(tmp_path / "r"))
+    was = {n: spark.conf.get(n) for n in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = outer_join_halves(spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r")), ["k"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ReusedExchange") == 2
+        assert out.count() == sum(len([l for l in range(50) if l % 7 == k]) * 8 for k in range(5)) + sum(1 for l in range(50) if l % 7 >= 5)
+    finally:
+        for name, value in was.items():
+            spark.conf.set(name, value)
+
+
+def test_outer_join_with_null_keys_unmatched(spark):
+    left = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (None, None, "c")], "k int, j int, v string")
+    right = spark.createDataFrame([(1, None, "x"), (1, None, "y"), (1, 2, "z")], "k int, j int, w string")
+    assert rows(outer_join_halves(left, right, ["k", "j"], match_nulls=False)) == rows(
+        spark.createDataFrame(
+            [(1, 2, "b", "z"), (1, None, "a", None), (None, None, "c", None), (1, None, None, "x"), (1, None, None, "y")], "k int, j int, v string, w string"
+        )
+    )
+    assert rows(null_key_counts(left, right, ["k", "j"])) == [(False, True, 1, 2), (True, True, 1, 0)]
+
+
 def test_outer_join_of_one_table_with_itself(spark):
     df = spark.createDataFrame([(1, 1, 5), (1, 2, 6)], "a int, b int, v int")
     out = outer_join_halves(df.where("b = 1"), df, ["a", "b"])
@@ -386,6 +414,15 @@ UNIT = "2023_Multifamily_National_File_Unit_Class-Level_Data_File_B_combined"
 PROPERTY = "2023_Multifamily_National_File_Property-Level_Data_File_B_combined"
 
 
+def test_resolution_reads_the_files_once(spark, tmp_path):
+    spark.createDataFrame([("fnma_sf2019c.txt",), ("none.txt",)], "file_name string").write.parquet(str(tmp_path / "files"))
+    offered = [(2019, "2019_Single_Family_Census_Tract_File_C_combined", "csv", "/d.csv")]
+    available = spark.createDataFrame(offered, "dictionary_year int, dictionary_name string, format string, dictionary_path string")
+    found = resolve_dictionaries(spark.read.parquet(str(tmp_path / "files")), available)
+    assert rows(found.select("file_name", "dictionary_path")) == [("fnma_sf2019c.txt", "/d.csv"), ("none.txt", None)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
 def test_resolution(spark):
     assert resolved(spark, "fnma_sf2023c_loans.txt", SF_C + ".csv", SF_C + ".parquet") == f"/d/{SF_C}.parquet"
     assert resolved(spark, "fnma_sf2023c_loans.txt", SF_C + ".csv", SF_C + ".parquet", prefer="csv") == f"/d/{SF_C}.csv"
