@@ -22,7 +22,9 @@ LINE_ITEM = Layout.of(
         ("l_quantity", 12),
         ("l_extendedprice", 18),
         ("l_discount", 8),
+        ("l_tax", 8),
         ("l_returnflag", 1),
+        ("l_linestatus", 1),
         ("l_shipdate", 10),
     ]
 ).typed(
@@ -34,12 +36,14 @@ LINE_ITEM = Layout.of(
         "l_quantity": "double",
         "l_extendedprice": "decimal(18,2)",
         "l_discount": "double",
+        "l_tax": "double",
         "l_shipdate": "date",
     }
 )
 
 
 def line_item_lines(spark: SparkSession, sf_dir: str, as_bytes: bool = True) -> DataFrame:
+    """Whole line items as records."""
     items = table(spark, sf_dir, "lineitem").withColumns(
         {
             "l_extendedprice": F.col("l_extendedprice").cast("decimal(18,2)"),
@@ -53,7 +57,7 @@ def line_item_lines(spark: SparkSession, sf_dir: str, as_bytes: bool = True) ->
     """
     select l_orderkey, l_partkey, l_suppkey, cast(l_linenumber as bigint) as l_linenumber, l_quantity,
            cast(cast(l_extendedprice as decimal(18,2)) as double) as l_extendedprice,
-           l_discount, l_returnflag, cast(l_shipdate as date) as l_shipdate
+           l_discount, l_tax, l_returnflag, l_linestatus, cast(l_shipdate as date) as l_shipdate
     from lineitem
     """
 )
@@ -71,7 +75,10 @@ def fixed_width_parse(spark, sf_dir):
     """
 )
 def fixed_width_agg(spark, sf_dir):
-    parsed = parse_lines(line_item_lines(spark, sf_dir), LINE_ITEM)
+    return summary(parse_lines(line_item_lines(spark, sf_dir), LINE_ITEM))
+
+
+def summary(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("l_returnflag").agg(
         F.count("*").alias("n_items"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("sum_qty"),
@@ -85,7 +92,7 @@ def fixed_width_agg(spark, sf_dir):
     """
     select l_orderkey, l_partkey, l_suppkey, cast(l_linenumber as bigint) as l_linenumber, l_quantity,
            cast(cast(l_extendedprice as decimal(18,2)) as double) as l_extendedprice,
-           l_discount, l_returnflag, cast(l_shipdate as date) as l_shipdate
+           l_discount, l_tax, l_returnflag, l_linestatus, cast(l_shipdate as date) as l_shipdate
     from lineitem
     """
 )
@@ -136,10 +143,15 @@ def fixed_width_short_lines(spark, sf_dir):
 )
 def fixed_width_infer_types(spark, sf_dir):
     """Types read from all values: whole numbers (with blanks), decimals, text."""
-    layout = Layout.of([("o_orderkey", 19), ("o_totalprice", 18), ("o_orderpriority", 20), ("o_custkey", 19)])
+    return parse_lines_inferred(untyped_order_lines(spark, sf_dir), UNTYPED_ORDER)
+
+
+UNTYPED_ORDER = Layout.of([("o_orderkey", 19), ("o_totalprice", 18), ("o_orderpriority", 20), ("o_custkey", 19)])
+
+
+def untyped_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn("o_custkey", F.when(F.col("o_custkey") != 7, F.col("o_custkey")))
-    lines = format_lines(orders.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)")), layout, as_bytes=True)
-    return parse_lines_inferred(lines, layout)
+    return format_lines(orders.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)")), UNTYPED_ORDER, as_bytes=True)
 
 
 @check(
@@ -159,13 +171,17 @@ def fixed_width_infer_types(spark, sf_dir):
     """
 )
 def fixed_width_infer_layout(spark, sf_dir):
+    return column_spans(spaced_order_lines(spark, sf_dir))
+
+
+def spaced_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = Layout.of(
         [("o_orderkey", 19), ("o_custkey", 19), ("o_orderstatus", 1), ("o_totalprice", 18), ("o_orderdate", 10), ("o_orderpriority", 20)]
     )
     orders = table(spark, sf_dir, "orders").withColumns(
         {"o_totalprice": F.col("o_totalprice").cast("decimal(18,2)"), "o_orderdate": F.col("o_orderdate").cast("date")}
     )
-    return column_spans(format_lines(orders, layout, as_bytes=True))
+    return format_lines(orders, layout, as_bytes=True)
 
 
 def _labelled_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
