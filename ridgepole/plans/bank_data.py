@@ -21,6 +21,7 @@ from ridgepole.operators.union import union_relaxed
 from ridgepole.plans import rule_tables
 from ridgepole.session import tune
 from ridgepole.sources import files, sinks, tables
+from ridgepole.sources.footers import recent_subset_of
 
 
 def clean_acquisitions(df: DataFrame, file_year: int, names: Mapping[str, str], changed: int = rule_tables.UNITS_CHANGED) -> DataFrame:
@@ -119,10 +120,12 @@ class BankData:
         # both tables share one name when the years start in 2018; the subset is kept then
         if not (pruned and recent == everything):
             written.append(sinks.write_table(whole, everything))
-            # the counts and the subset prune and filter the stored table
-            whole = self.spark.read.parquet(everything)
         if pruned:
-            subset = recent_subset(whole, "Loan Acquisition Date", rows_from=2018, columns_from=2019)
+            limits = {"rows_from": 2018, "columns_from": 2019}
+            if written:  # the stored table's footers tell most of what is in use
+                subset = recent_subset_of(self.spark, everything, "Loan Acquisition Date", **limits)
+            else:
+                subset = recent_subset(whole, "Loan Acquisition Date", **limits)
             written.append(sinks.write_table(subset, recent))
         return written
 

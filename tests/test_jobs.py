@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ridgepole import BankData, DataPaths, LoadOptions, LoanFiles, LoanLimits, Medallion, write_hive
 from ridgepole.operators.layout import Layout
+from ridgepole.operators.prune import recent_subset
 from ridgepole.plans import rule_tables
-from ridgepole.sources import archives, files, links, sinks, tables
+from ridgepole.sources import archives, files, footers, links, sinks, tables
 from ridgepole.sources.tables import read_layout
 from ridgepole.sources.text_lines import read_lines
 from ridgepole.streaming.incremental import convert_new, parsed_stream
@@ -568,6 +569,31 @@ def test_sheets_by_header(spark, tmp_path):
         tables.read_sheets(spark, listed, {"e.csv": 1})
 
 
+def test_live_columns_from_footers(spark, tmp_path, monkeypatch):
+    """Against counting all values: files all early, all late, on both sides, without rows, and without statistics."""
+    schema = "y int, a int, b string, c double, `d e` int, f struct<x: int, z: string>, g array<int>, h int"
+    parts = {
+        "early": [(2017, 1, "x", 1.0, 1, (1, "q"), [1], None), (2018, None, "x", None, None, None, None, None)],
+        "late": [(2019, None, "x", None, None, (None, "q"), None, None), (2020, None, None, None, None, None, None, None)],
+        "mixed": [(2018, 5, None, 5.0, 5, None, [5], None), (2019, None, None, None, 7, None, None, None), (None, 9, None, 9.0, None, None, [9], None)],
+        "nothing": [],
+    }
+    table = str(tmp_path / "table.parquet")
+    for part in parts.values():
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(table)
+    whole = spark.read.parquet(table)
+    want = recent_subset(whole, "y", 2018, 2019)
+    got = footers.recent_subset_of(spark, table, "y", 2018, 2019)
+    assert got.columns == want.columns == ["y", "b", "d e", "f"] and rows(got.select("y", "b")) == rows(want.select("y", "b"))
+    scanned = []
+    own = footers.live_columns
+    monkeypatch.setattr(footers, "live_columns", lambda df, where: scanned.append((df.inputFiles(), df.columns)) or own(df, where))
+    assert footers.live_columns_of(spark, table, "y", 2019) == want.columns
+    ((read, asked),) = scanned
+    assert len(read) < 4 and "b" not in asked and "y" not in asked  # the early and the late file are not read
+    assert footers.live_columns_of(spark, table, "c", 5) == own(whole, F.col("c") >= 5)
+
+
 def test_incremental(spark, tmp_path):
     layout = Layout.of([("k", 2), ("v", 1)])
 
