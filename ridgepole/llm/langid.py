@@ -103,17 +103,18 @@ def _mixture(likely: np.ndarray, counts: np.ndarray, offsets: np.ndarray, allowe
 def infer(model: Model, texts: list[str | None], rounds: int = 12) -> tuple[list[str], np.ndarray, list[str]]:
     """Main language, its share, and all languages of each text with their shares."""
     names, scores, sets = [UNKNOWN] * len(texts), np.zeros(len(texts)), [""] * len(texts)
-    grams, owners = [], []
+    used, times, owners = [], [], []
     for i, text in enumerate(texts):
         if text and model.languages and len(g := trigrams(text)):
-            grams.append(np.bincount(g, minlength=BUCKETS))
+            found = np.bincount(g, minlength=BUCKETS)
+            used.append(np.flatnonzero(found))
+            times.append(found[used[-1]])
             owners.append(i)
     if not owners:
         return names, scores, sets
-    used = [np.flatnonzero(g) for g in grams]
     sizes = np.array([len(u) for u in used])
     offsets = np.cumsum(sizes) - sizes
-    counts = np.concatenate([g[u] for g, u in zip(grams, used)]).astype(np.float64)
+    counts = np.concatenate(times).astype(np.float64)
     likely = model.likelihood[:, np.concatenate(used)].T.astype(np.float64)
     total = np.add.reduceat(counts, offsets)
     n, k = len(owners), len(model.languages)
