@@ -381,8 +381,11 @@ class Collocations:
         keys = ["size", *w]
         stays = self._parted().join(self._contained(), keys, "left_anti")
         # those that tie with the last count and score are told apart by their words, so all of them are spelled
-        best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-        near = stays.withColumn("_r", F.rank().over(best)).where(F.col("_r") <= first)
+        # a language's candidates are ranked in parts first; what ranks among the first does so in its part
+        by = [F.desc("score"), F.desc("a")]
+        parted = stays.withColumn("_part", F.pmod(F.xxhash64(*w), F.lit(SALTS)))
+        parted = parted.withColumn("_r", F.rank().over(Window.partitionBy("lang", "_part").orderBy(*by))).where(F.col("_r") <= first)
+        near = parted.withColumn("_r", F.rank().over(Window.partitionBy("lang").orderBy(*by))).where(F.col("_r") <= first)
         spelled = near
         single = self.words.select(F.col("w").alias("_w"), F.col("word").alias("_word"))
         for c in w:
