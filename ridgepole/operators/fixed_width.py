@@ -12,6 +12,7 @@ from ridgepole.functions import text
 from ridgepole.operators import columns as cols
 from ridgepole.operators.infer import infer_types
 from ridgepole.operators.layout import Field, Layout
+from ridgepole.session import tune
 
 
 def _cut(line: Column, field: Field, is_bytes: bool) -> Column:
@@ -72,8 +73,10 @@ def parse_lines(
     ``value`` holds text, or the bytes of latin-1 lines (what ``read_lines`` gives, and
     the faster form).  Lines whose fields are all blank are dropped; a line too short for a
     field gives null.
-    Everything is projection, so fields nobody selects are never cut out.
+    Everything is projection, so fields nobody selects are never cut out.  The session is
+    tuned, as a record's fields fused into one large method would run interpreted.
     """
+    tune(lines.sparkSession)
     line = cols.col(value)
     is_bytes = isinstance(lines.schema[value].dataType, T.BinaryType)
     # a cast can stand in for the token test as long as no token reads as a value
@@ -115,8 +118,10 @@ def format_lines(
     """Write columns as fixed-width lines, the inverse of ``parse_lines``.
 
     ``as_bytes`` gives latin-1 bytes, the form that is cheaper to cut.  A value wider than
-    its field fails the job instead of shifting the record.
+    its field fails the job instead of shifting the record.  Lines are made once, as rows of
+    a generator: a filter on a line is not pushed below it, where it would make the line again.
     """
+    tune(df.sparkSession)
     cells = df.select(
         *[cols.col(k) for k in keep],
         *[F.coalesce(cols.col(f.name).cast("string"), F.lit("")).alias(f"_cell{i}") for i, f in enumerate(layout.fields)],
@@ -131,4 +136,4 @@ def format_lines(
         parts.append(F.when(F.length(cell) > field.width, too_wide.cast("string")).otherwise(F.rpad(cell, field.width, " ")))
         cursor = field.start + field.width
     line = F.encode(F.concat(*parts), "ISO-8859-1") if as_bytes else F.concat(*parts)
-    return cells.select(*[cols.col(k) for k in keep], line.alias(value))
+    return cells.select(*[cols.col(k) for k in keep], F.explode(F.array(line)).alias(value))

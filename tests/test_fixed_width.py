@@ -195,3 +195,16 @@ def test_only_selected_fields_are_cut(spark):
 def test_filter_on_keep_columns(spark):
     df = spark.createDataFrame([("f", "ab 1")], "src string, value string")
     assert rows(parse_lines(df, Layout.of([("a", 2), ("b", 1)]), keep=("src",)).where(F.col("b") == "1")) == [("f", "ab", "1")]
+
+
+def test_lines_are_made_once(spark):
+    """A filter on lines stays above what makes them, and a record's fields are not fused into one method that runs interpreted."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(key)
+    layout = Layout.of([("a", 3), ("b", 4)])
+    df = spark.range(5).selectExpr("cast(id as string) as a", "cast(id + 7 as string) as b")
+    parsed = parse_lines(format_lines(df, layout, as_bytes=True), layout)
+    assert spark.conf.get(key) == "8000"
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rpad(") == 2  # each field once
+    assert rows(parsed) == rows(df)
