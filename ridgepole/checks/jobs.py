@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -21,29 +21,65 @@ from ridgepole.plans import rule_tables
 from ridgepole.plans.bank_data import BankData
 from ridgepole.plans.limits import LoanLimits
 from ridgepole.plans.loan_files import LoanFiles
-from ridgepole.session import remove_dir, scratch_dir
+from ridgepole.session import many_tasks, remove_dir, scratch_dir, spread
 from ridgepole.sources import archives, files, tables
 from ridgepole.streaming.mixed import convert_mixed
 
 
+def sorted_parts(rows: DataFrame, staged: str, order: str | None = None) -> dict[str, list[str]]:
+    """The ``value`` lines of each ``name`` (by ``order`` if given) as files under ``staged``, to be read one after the other.
+
+    The lines are dealt by ranges, so a task sorts its share of all lines, not a whole file.
+    """
+    spark = rows.sparkSession
+    keyed = rows.withColumns({"_key": F.md5(F.col("name").cast("binary")), "_at": F.col(order) if order else F.xxhash64("value")})
+    dealt = keyed.repartitionByRange(many_tasks(spark), "_key", "_at").sortWithinPartitions("_key", "_at")
+    dealt.select("value", "_key").write.partitionBy("_key").text(staged)
+    names = [row["name"] for row in rows.select("name").distinct().toLocalIterator()]
+    # a task's number leads the name of its file
+    return {name: sorted(files.glob(spark, f"{staged}/_key={hashlib.md5(name.encode()).hexdigest()}/part-*")) for name in names}
+
+
+def _read_on(uris: Iterable[str]) -> Iterator[bytes]:
+    """The bytes of files one after the other, through a fixed-size buffer."""
+    for uri in uris:
+        system, where = archives._open(uri)
+        with system.open_input_file(where) as source:
+            while chunk := source.read(archives.BUFFER):
+                yield chunk
+
+
+def _join_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for parts, target in zip(batch["parts"], batch["target"]):
+            system, where = archives._open(target)
+            with system.open_output_stream(where) as out:
+                for chunk in _read_on(parts):
+                    out.write(chunk)
+        yield pd.DataFrame({"n": [len(batch)]})
+
+
 def plain_files(rows: DataFrame, root: str, order: str | None = None) -> None:
     """One plain file under ``root`` for each ``name``, of its ``value`` lines (by ``order`` if given).
 
-    Spark writes a folder for each name; its one part file is then moved to the name.
+    Spark writes a folder for each name.  Its only part file is moved to the name; of
+    several, one task copies the bytes there.
     """
     spark = rows.sparkSession
     staged = scratch_dir(spark, "plain-files")
-    keyed = rows.withColumn("_key", F.md5(F.col("name").cast("binary"))).repartition("_key")
-    keyed = keyed.sortWithinPartitions("_key", order) if order else keyed.sortWithinPartitions("_key")
-    keyed.select("value", "_key").write.partitionBy("_key").text(staged)
     path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
-    for row in rows.select("name").distinct().toLocalIterator():
-        (part,) = files.glob(spark, f"{staged}/_key={hashlib.md5(row['name'].encode()).hexdigest()}/part-*")
-        target = path(f"{root}/{row['name']}")
+    several = []
+    for name, parts in sorted_parts(rows, staged, order).items():
+        target = path(f"{root}/{name}")
         system.mkdirs(target.getParent())
-        if not system.rename(path(part), target):
-            raise OSError(f"{part} could not be moved to {row['name']}")
+        if len(parts) > 1:
+            several.append((parts, system.makeQualified(target).toUri().toString()))
+        elif not system.rename(path(parts[0]), target):
+            raise OSError(f"{parts[0]} could not be moved to {name}")
+    if several:
+        joined = spread(spark.createDataFrame(several, "parts array<string>, target string"), F.col("target"))
+        joined.mapInPandas(_join_parts, "n int").collect()
     remove_dir(spark, staged)
 
 
@@ -206,7 +242,8 @@ def incremental_mixed(spark, sf_dir):
 def zip_files(members: DataFrame, root: str) -> None:
     """ZIP archives under ``root`` from rows of ``archive, position, member, data, damaged``, written as a stream.
 
-    A damaged member's recorded checksum is wrong.
+    A member's ``data`` are its bytes, or the places of stored files, read one after the
+    other.  A damaged member's recorded checksum is wrong.
     """
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -221,7 +258,12 @@ def zip_files(members: DataFrame, root: str) -> None:
                     system.create_dir(folder, recursive=True)
                     name, handle = archive, system.open_output_stream(f"{folder}/{archive}")
                     packed = zipfile.ZipFile(handle, "w", zipfile.ZIP_DEFLATED)
-                packed.writestr(member, data)
+                if isinstance(data, bytes):
+                    packed.writestr(member, data)
+                else:
+                    with packed.open(member, "w", force_zip64=True) as out:
+                        for chunk in _read_on(data):
+                            out.write(chunk)
                 if damaged:
                     packed.filelist[-1].CRC ^= 1
         if packed is not None:
@@ -299,17 +341,21 @@ def multifamily_archives(spark, sf_dir):
     layout = Layout.of([(f"c{i}", 10) for i in range(len(names))])
     year = F.year("o_orderdate").cast("string")
     orders = table(spark, sf_dir, "orders").where("o_orderstatus <> 'F'").select(year.alias("year"), "o_orderkey", *cells)
-    lines = format_lines(orders, layout, keep=("year", "o_orderkey"))
-    text = F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", "value"))), lambda x: x["value"]))
-    yearly = lines.groupBy("year").agg(text.alias("text"))  # an archive's member is made whole
-    member = lambda place, name, data: F.struct(F.lit(place).alias("position"), name.alias("member"), data.cast("binary").alias("data"))
-    members = yearly.select(
-        F.concat(F.lit("FHFA_MFCensus"), "year", F.lit(".zip")).alias("archive"), F.lit(False).alias("damaged"),
-        F.explode(F.array(member(0, F.lit("about.txt"), F.lit("no loans")), member(1, F.concat(F.lit("in/fnma_mf"), "year", F.lit("c_loans.txt")), F.col("text")))).alias("m"),
-    ).select("archive", "damaged", "m.*")
+    lines = format_lines(orders, layout, keep=("year", "o_orderkey")).withColumnRenamed("year", "name")
     root = scratch_dir(spark, "multifamily-archives")
-    zip_files(members, f"{root}/zips")
-    zip_files(members.where("position = 1").limit(1).withColumn("archive", F.lit("FHFA_SFNational.zip")), f"{root}/zips")  # not wanted
+    yearly = sorted_parts(lines, f"{root}/lines", "o_orderkey")
+    plain_files(spark.createDataFrame([("about.txt", "no loans")], "name string, value string"), root)
+    about = [f"{root}/about.txt"]
+    members = [
+        m
+        for y, parts in yearly.items()
+        for m in ((f"FHFA_MFCensus{y}.zip", 0, "about.txt", about, False), (f"FHFA_MFCensus{y}.zip", 1, f"in/fnma_mf{y}c_loans.txt", parts, False))
+    ]
+    if yearly:
+        first = min(yearly)
+        members.append(("FHFA_SFNational.zip", 1, f"in/fnma_mf{first}c_loans.txt", yearly[first], False))  # not wanted
+    zip_files(spark.createDataFrame(members, "archive string, position int, member string, data array<string>, damaged boolean"), f"{root}/zips")
+    remove_dir(spark, f"{root}/lines")
     out = LoanFiles(spark, DataPaths.under(root)).combine_multifamily_archives(f"{root}/zips", root)
     loans = tables.read_delimited(spark, out)
     number = lambda n: F.col(n).cast("double").cast("bigint")

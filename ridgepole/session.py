@@ -55,15 +55,18 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/ridgepole/{label}-{uuid.uuid4().hex}"
 
 
+def many_tasks(spark: SparkSession) -> int:
+    """A number of tasks that keeps all cores busy, however few bytes there are."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
 def spread(df: DataFrame, *keys: Column) -> DataFrame:
     """Deal short rows that stand for much work over tasks.
 
     The number is given, so the adaptive planner does not fold them into one task for
     being few bytes.
     """
-    spark = df.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    return df.repartition(tasks, *keys)
+    return df.repartition(many_tasks(df.sparkSession), *keys)
 
 
 def remove_dir(spark: SparkSession, path: str) -> None:

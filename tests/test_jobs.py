@@ -10,6 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ridgepole import BankData, DataPaths, LoadOptions, LoanFiles, LoanLimits, Medallion, write_hive
+from ridgepole.checks.jobs import zip_files
 from ridgepole.operators.layout import Layout
 from ridgepole.operators.prune import recent_subset
 from ridgepole.plans import rule_tables
@@ -315,6 +316,17 @@ def test_many_members_one_damaged(spark, tmp_path):
     assert (tmp_path / "out/f3.txt").read_bytes() == b"second" and not list((tmp_path / "out").glob("*.part"))
 
 
+def test_zip_members_from_stored_parts(spark, tmp_path):
+    """A member is read from files through a buffer, in their order; it is never a cell."""
+    parts = [str(put(tmp_path / f"part{i}", f"line {i}\n" * 3)) for i in range(4)]
+    schema = "archive string, position int, member string, data array<string>, damaged boolean"
+    zip_files(spark.createDataFrame([("a.zip", 0, "in/a.txt", parts, False), ("a.zip", 1, "b.txt", parts[:1], True)], schema), f"{tmp_path}/zips")
+    with zipfile.ZipFile(tmp_path / "zips/a.zip") as z:
+        assert z.read("in/a.txt").decode() == "".join(f"line {i}\n" * 3 for i in range(4))
+        with pytest.raises(zipfile.BadZipFile):
+            z.read("b.txt")
+
+
 def test_dictionary_keeps_its_order(spark, tmp_path):
     """Part files are read by name, whatever their sizes."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
