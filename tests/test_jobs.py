@@ -10,7 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ridgepole import BankData, DataPaths, LoadOptions, LoanFiles, LoanLimits, Medallion, write_hive
-from ridgepole.checks.jobs import zip_files
+from ridgepole.checks.jobs import plain_files, sorted_parts, zip_files
 from ridgepole.operators.layout import Layout
 from ridgepole.operators.prune import recent_subset
 from ridgepole.plans import rule_tables
@@ -316,6 +316,16 @@ def test_many_members_one_damaged(spark, tmp_path):
     assert (tmp_path / "out/f3.txt").read_bytes() == b"second" and not list((tmp_path / "out").glob("*.part"))
 
 
+def test_plain_files_are_sorted_in_parts(spark, tmp_path):
+    """The lines of one file are dealt over tasks; the file has them in order, once each."""
+    lines = spark.range(0, 5000, 1, 4).selectExpr("if(id % 50 = 0, 'few.csv', 'many rows%.csv') as name", "5000 - id as at", "concat('line ', 5000 - id) as value")
+    assert len(sorted_parts(lines, f"{tmp_path}/parts", "at")["many rows%.csv"]) > 1
+    plain_files(lines, f"{tmp_path}/plain", "at")
+    numbers = {"few.csv": range(50, 5001, 50), "many rows%.csv": [i for i in range(1, 5001) if i % 50]}
+    for name, expected in numbers.items():
+        assert (tmp_path / "plain" / name).read_text() == "".join(f"line {i}\n" for i in expected)
+
+
 def test_zip_members_from_stored_parts(spark, tmp_path):
     """A member is read from files through a buffer, in their order; it is never a cell."""
     parts = [str(put(tmp_path / f"part{i}", f"line {i}\n" * 3)) for i in range(4)]
