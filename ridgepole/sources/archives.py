@@ -1,8 +1,9 @@
 """ZIP archives: list, route and unpack members on the executors.
 
-Members are addressed individually, so a large archive is unpacked by as many tasks as
-it has members, streaming through a fixed-size buffer.  Nothing is held whole, neither
-in a cell nor in a worker, and an archive may be of any size.
+Members are addressed individually and dealt over tasks by their places, so a large
+archive is unpacked by many tasks, each of which reads its directory once, streaming
+through a fixed-size buffer.  No member is held whole, neither in a cell nor in a worker,
+and an archive may be of any size.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
+from contextlib import ExitStack
 from functools import reduce
 
 import pandas as pd
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ridgepole.functions import paths, years
 from ridgepole.operators.dedupe import keep_first, keep_last
-from ridgepole.session import spread
+from ridgepole.session import many_tasks, spread
 from ridgepole.sources import files
 
 BUFFER = 4 << 20
@@ -132,26 +134,58 @@ def _copy(source, target_uri: str) -> int:
     return copied
 
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        done = []
-        for uri, member, position, target in zip(batch["archive"], batch["member"], batch["position"], batch["target"]):
+def _by_place(members: DataFrame) -> DataFrame:
+    """Deal members over tasks as they lie: a task has a run of one archive or of a few.
+
+    A directory is as long as its archive has members, so reading it for each member
+    would take time with the square of their number.
+    """
+    tasks = many_tasks(members.sparkSession)
+    return members.repartitionByRange(tasks, "archive", "position").sortWithinPartitions("archive", "position")
+
+
+class _LastOpened:
+    """The archive that was asked for last, which stays open."""
+
+    def __init__(self) -> None:
+        self._uri, self._archive, self._open = None, None, ExitStack()
+
+    def __enter__(self) -> _LastOpened:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self._open.close()
+
+    def member(self, uri: str, position: int):
+        """By place, as two members may have one name."""
+        if uri != self._uri:
+            self._open.close()
+            self._uri = None
             system, where = _open(uri)
-            copied, status, detail = None, "copied", None
-            if member is None:
-                with system.open_input_file(where) as source:
-                    copied = _copy(source, target)
-            else:
-                try:
-                    with system.open_input_file(where) as handle, zipfile.ZipFile(handle) as archive:
-                        # by place, as two members may have one name
-                        with archive.open(archive.infolist()[int(position)]) as source:
+            self._archive = self._open.enter_context(zipfile.ZipFile(self._open.enter_context(system.open_input_file(where))))
+            self._uri = uri
+        return self._archive.open(self._archive.infolist()[int(position)])
+
+
+def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    with _LastOpened() as opened:
+        for batch in batches:
+            done = []
+            for uri, member, position, target in zip(batch["archive"], batch["member"], batch["position"], batch["target"]):
+                copied, status, detail = None, "copied", None
+                if member is None:
+                    system, where = _open(uri)
+                    with system.open_input_file(where) as source:
+                        copied = _copy(source, target)
+                else:
+                    try:
+                        with opened.member(uri, position) as source:
                             copied = _copy(source, target)
-                except _BROKEN as error:
-                    status, detail = "failed", f"{type(error).__name__}: {error}"
-            done.append((uri, member, target, copied, status, detail))
-        out = pd.DataFrame(done, columns=["archive", "member", "target", "bytes", "status", "detail"])
-        yield out.astype({"bytes": "Int64"})
+                    except _BROKEN as error:
+                        status, detail = "failed", f"{type(error).__name__}: {error}"
+                done.append((uri, member, target, copied, status, detail))
+            out = pd.DataFrame(done, columns=["archive", "member", "target", "bytes", "status", "detail"])
+            yield out.astype({"bytes": "Int64"})
 
 
 REPORT = "archive string, member string, target string, bytes bigint, status string, detail string"
@@ -164,7 +198,7 @@ def unpack(members: DataFrame) -> DataFrame:
     member does not stop the others.  Lazy: run an action on the result to do the work.
     """
     position = F.col("position") if "position" in members.columns else F.lit(None).cast("bigint").alias("position")
-    return spread(members.select("archive", "member", position, "target"), F.col("target")).mapInPandas(_unpack, REPORT)
+    return _by_place(members.select("archive", "member", position, "target")).mapInPandas(_unpack, REPORT)
 
 
 def unreadable(members: DataFrame) -> DataFrame:
@@ -182,11 +216,10 @@ def _lines_of(encoding: str, rows: int):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
 
-        for batch in batches:
-            for uri, member, position in zip(batch["archive"], batch["member"], batch["position"]):
-                system, where = _open(uri)
-                with system.open_input_file(where) as handle, zipfile.ZipFile(handle) as archive:
-                    with io.TextIOWrapper(archive.open(archive.infolist()[int(position)]), encoding=encoding, newline=None) as text:
+        with _LastOpened() as opened:
+            for batch in batches:
+                for uri, member, position in zip(batch["archive"], batch["member"], batch["position"]):
+                    with io.TextIOWrapper(opened.member(uri, position), encoding=encoding, newline=None) as text:
                         numbers, values = [], []
                         for number, line in enumerate(text):
                             numbers.append(number)
@@ -205,5 +238,4 @@ def member_lines(members: DataFrame, encoding: str = "latin-1", rows_per_batch:
 
     For repeated use, ``unpack`` once and read the files: those can be split.
     """
-    dealt = spread(members.select("archive", "member", "position"), F.col("archive"), F.col("position"))
-    return dealt.mapInPandas(_lines_of(encoding, rows_per_batch), LINES)
+    return _by_place(members.select("archive", "member", "position")).mapInPandas(_lines_of(encoding, rows_per_batch), LINES)

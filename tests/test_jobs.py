@@ -5,6 +5,7 @@ import gzip
 import os
 import zipfile
 
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -316,6 +317,21 @@ def test_many_members_one_damaged(spark, tmp_path):
     assert (tmp_path / "out/f3.txt").read_bytes() == b"second" and not list((tmp_path / "out").glob("*.part"))
 
 
+def test_a_directory_is_read_once_for_a_run_of_members(tmp_path, monkeypatch):
+    """Else unpacking takes time with the square of an archive's members."""
+    opened, real = [], zipfile.ZipFile
+    for name in ("a.zip", "b.zip"):
+        with real(tmp_path / name, "w") as z:
+            for i in range(30):
+                z.writestr(f"{i}.txt", f"{name} {i}")
+    monkeypatch.setattr(archives.zipfile, "ZipFile", lambda f, *more: opened.append(f) or real(f, *more))
+    wanted = [(f"{tmp_path}/{n}", f"{i}.txt", i, f"{tmp_path}/out/{n}/{i}") for n in ("a.zip", "b.zip") for i in range(30)]
+    batches = [pd.DataFrame(part, columns=["archive", "member", "position", "target"]) for part in (wanted[:20], wanted[20:])]
+    told = pd.concat(archives._unpack(iter(batches)))
+    assert len(opened) == 2 and set(told["status"]) == {"copied"} and len(told) == 60
+    assert (tmp_path / "out/b.zip/29").read_text() == "b.zip 29"
+
+
 def test_plain_files_are_sorted_in_parts(spark, tmp_path):
     """The lines of one file are dealt over tasks; the file has them in order, once each."""
     lines = spark.range(0, 5000, 1, 4).selectExpr("if(id % 50 = 0, 'few.csv', 'many rows%.csv') as name", "5000 - id as at", "concat('line ', 5000 - id) as value")
