@@ -40,6 +40,10 @@ KMER = 64
 SHARD = 3 << 19
 #: Bytes of texts that a task works on at a time.
 BYTES = 1 << 20
+#: The same where each byte takes an array of words or more.
+BLOCK = 1 << 18
+#: Rows of a batch that a task takes out of it at a time.
+ROWS = 256
 _PLACE_BITS = 24
 
 _VALUE = hashes.symbols(256, 23)
@@ -50,6 +54,13 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return [v.encode("utf-8", "replace") if isinstance(v, str) else (v or b"") for v in column.to_pylist()]
 
 
+def _few_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in short batches: what is made of texts is held for a few of them."""
+    for batch in batches:
+        for low in range(0, max(batch.num_rows, 1), ROWS):
+            yield batch.slice(low, ROWS)
+
+
 def pieces(texts: list[bytes], length: int, kmer: int) -> tuple[np.ndarray, ...]:
     """(text, start, bytes, k-mer hash, piece hash) of all pieces; texts of ``length`` and more."""
     raw = np.frombuffer(b"".join(texts), np.uint8)
@@ -80,7 +91,7 @@ def pieces(texts: list[bytes], length: int, kmer: int) -> tuple[np.ndarray, ...]
 def _cut(length: int, kmer: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in _few_rows(batches):
             new = []
             for i, key in enumerate(batch.column(0).to_pylist()):
                 if key not in seen:
@@ -90,12 +101,12 @@ def _cut(length: int, kmer: int):
             # a long text is worked on in stretches that overlap by a string less one byte
             names, begins, parts = [], [], []
             for key, value in zip(batch.column(0).to_pylist(), _bytes(batch.column(1))):
-                for low in range(0, len(value) - length + 1, BYTES):
+                for low in range(0, len(value) - length + 1, BLOCK):
                     names.append(key)
                     begins.append(low)
-                    parts.append(value[low : low + BYTES + length - 1])
+                    parts.append(value[low : low + BLOCK + length - 1])
             keys, base = np.array(names, np.int64), np.array(begins, np.int64)
-            for a, b in hashes.slices([len(p) for p in parts], BYTES):
+            for a, b in hashes.slices([len(p) for p in parts], BLOCK):
                 text, start, size, gram, whole = pieces(parts[a:b], length, kmer)
                 place = (base[a:b][text] + start) << 12 | size
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (gram, whole, keys[a:b][text], place)], names=["kmer", "piece", "text", "place"])
@@ -129,7 +140,7 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["kmer", "text", "start", "twice", "bytes"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    for batch in batches:
+    for batch in _few_rows(batches):
         out: list[list] = [[] for _ in names]
         held = 0
         for text, raw, parts in zip(batch.column("text").to_pylist(), _bytes(batch.column("value")), batch.column("parts").to_pylist()):
@@ -238,7 +249,7 @@ def spans(rows: DataFrame, length: int = LENGTH, kmer: int = KMER) -> DataFrame:
 
 def _apply(keep: list[str], characters: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few_rows(batches):
             texts = batch.column(len(keep)).to_pylist()
             starts, stops = batch.column(len(keep) + 1).to_pylist(), batch.column(len(keep) + 2).to_pylist()
             for low, high in hashes.slices([len(t or "") for t in texts], BYTES):

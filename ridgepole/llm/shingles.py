@@ -8,7 +8,7 @@ from ridgepole.llm import hashes
 
 WORDS = 5
 #: Bytes of texts that a task works on at a time.
-BYTES = 1 << 20
+BYTES = 1 << 18
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True

@@ -487,3 +487,15 @@ def test_long_chain_of_replies(spark):
     df = spark.range(200).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.concat_ws("\n", F.when(F.col("id") > 0, F.concat(F.lit("> line "), F.col("id") - 1)), F.concat(F.lit("line "), "id")).alias("text"))
     rows = quotes.conversations(df).orderBy("position").collect()
     assert [(r["turn"], r["depth"], r["root_turn"], r["text"]) for r in rows] == [(i, i, 0, f"line {i}") for i in range(200)]
+
+
+def test_repeats_work_on_few_texts_at_a_time(monkeypatch):
+    """Cutting takes arrays of words for each byte, so a worker's memory follows the bytes it holds."""
+    import pyarrow as pa
+
+    held, real = [], repeats.pieces
+    monkeypatch.setattr(repeats, "pieces", lambda texts, *more: held.append(sum(map(len, texts))) or real(texts, *more))
+    texts = [f"{i} " * 400 for i in range(1200)] + ["long text " * 100_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["text", "value"])
+    found = pa.Table.from_batches(repeats._cut(200, 64)(iter([batch])))
+    assert max(held) <= repeats.BLOCK + 200 and set(found.column("text").to_pylist()) == set(range(len(texts)))
