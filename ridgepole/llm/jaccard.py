@@ -15,6 +15,9 @@ size, and a task compares two blocks by products of their incidence matrices and
 a spanning forest of the links.  A candidate pair that is left out lies inside one
 component, so components are complete.
 
+Texts travel only for candidates that bitmaps of about a bit a shingle do not rule out: sets
+differ in no fewer shingles than their bitmaps in bits, so no link is lost by them.
+
 The common shingles are the ``MOST_COMMON`` most frequent ones at most: their order only
 decides how many candidates there are, never which links are found.
 
@@ -65,22 +68,25 @@ def _prefix_length(n: int, percent: int) -> int:
 
 
 def _sizes(percent: int):
-    """Each document's class and size, and its prefix by hash alone, for counting."""
+    """Each document's class and size; of a class, once for a task, its bitmap and its prefix by hash alone, for counting."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for a, b, found in _parts(batch.column(1)):
                 keys = [shingles.key(s) for s in found]
-                heads = []
+                heads, bits = [], []
                 for k, s in zip(keys, found):
-                    heads.append(s[: _prefix_length(len(s), percent)].view(np.int64) if len(s) and k not in seen else None)
+                    fresh = len(s) and k not in seen
+                    heads.append(s[: _prefix_length(len(s), percent)].view(np.int64) if fresh else None)
+                    bits.append(shingles.bitmap(s) if fresh else None)
                     seen.add(k)
                 counts = [0 if h is None else len(h) for h in heads]
                 flat = np.concatenate([h for h in heads if h is not None] or [np.empty(0, np.int64)])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in found], pa.int64()), pa.array(keys, pa.int64()), lists], names=["doc_id", "n", "key", "head"]
+                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in found], pa.int64()), pa.array(keys, pa.int64()), pa.array(bits, pa.binary()), lists],
+                    names=["doc_id", "n", "key", "bits", "head"],
                 )
 
     return run
@@ -164,6 +170,23 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (what, x, y, size)], names=["kind", "x", "y", "n"])
 
 
+def _possible(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            apart = np.array([shingles.difference(x, y) for x, y in zip(batch.column("bitsa").to_pylist(), batch.column("bitsb").to_pylist())], np.int64)
+            keep = pa.array(shingles.possible(apart, batch.column("total").to_numpy(), percent))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+
+    return run
+
+
+def possible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) whose bitmaps (``key``, ``n``, ``bits``) leave it open that they are similar enough."""
+    of = lambda name: bitmaps.select(F.col("key").alias(name), F.col("n").alias(f"n{name}"), F.col("bits").alias(f"bits{name}"))
+    met = pairs.join(of("a"), "a").join(of("b"), "b")
+    return met.select("a", "b", (F.col("na") + F.col("nb")).alias("total"), "bitsa", "bitsb").mapInArrow(_possible(percent), "a bigint, b bigint")
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by pivot and role: the pivot's text, then its partners'."""
@@ -211,8 +234,8 @@ def _clusters(crowd: DataFrame) -> DataFrame:
     return crowd.select("key", "n", "label").distinct().join(cluster, F.col("key") == F.col("node")).select("key", "n", "label", F.col("component").alias("cluster"))
 
 
-def _blocks(crowd: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Links across components inside clusters.
+def _blocks(crowd: DataFrame, carried: DataFrame, percent: int) -> DataFrame:
+    """The rows of each two blocks of a cluster that meet, with what ``carried`` has for their ``key``, sorted by ``pair`` and ``side``.
 
     Sizes fall into classes a factor 1 / t apart, so similar texts lie in one class or in
     neighbouring ones, and blocks of a class meet those of the same and the next class.
@@ -233,11 +256,41 @@ def _blocks(crowd: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     same = meets("parts0", lambda o: (o < mine).cast("int"), lambda o: (own, F.least(mine, o)), lambda o: (own, F.greatest(mine, o)))
     above = meets("parts1", lambda o: F.lit(0), lambda o: (own, mine), lambda o: (own + 1, o))
     below = meets("parts_1", lambda o: F.lit(1), lambda o: (own - 1, o), lambda o: (own, mine))
-    dealt = placed.select("key", "label", F.explode(F.concat(same, above, below)).alias("p")).select("p.pair", "p.side", "key", "label")
-    rows = dealt.join(texts.select("key", "text"), "key")
+    dealt = placed.select("key", "n", "label", F.explode(F.concat(same, above, below)).alias("p")).select("p.pair", "p.side", "key", "n", "label")
+    rows = dealt.join(carried, "key")
     tasks = int(crowd.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = rows.select("pair", "side", "key", "label", "text").repartition(tasks, "pair").sortWithinPartitions("pair", "side", "key")
-    return sorted_rows.mapInArrow(_compare(percent), "a bigint, b bigint")
+    return rows.repartition(tasks, "pair").sortWithinPartitions("pair", "side", "key")
+
+
+def _open(crowd: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The rows that may be linked with one of their cluster and another component, as far as bitmaps tell."""
+    keys = _blocks(crowd, bitmaps.select("key", "bits"), percent).mapInArrow(_hopeful(percent), "key bigint").distinct()
+    return crowd.join(keys, "key", "left_semi")
+
+
+def _hopeful(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Two blocks at a time (or one with itself), sorted by pair and side."""
+        for table in whole_runs(batches, "pair"):
+            pair, side, key, label, n = (table.column(c).to_numpy() for c in ("pair", "side", "key", "label", "n"))
+            turn = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else []
+            for first, last in zip(turn, np.append(turn[1:], len(pair))):
+                split = first + int((side[first:last] == 0).sum())
+                bits = [np.frombuffer(v, np.uint8) for v in table.column("bits").slice(first, last - first).to_pylist()]
+                width = np.array([len(b) for b in bits])
+                mine = np.arange(first, split)
+                theirs = np.arange(split, last) if split < last else mine
+                hope = np.zeros(last - first, bool)
+                for p in np.unique(width[mine - first]):
+                    for q in np.unique(width[theirs - first]):
+                        i, j = mine[width[mine - first] == p], theirs[width[theirs - first] == q]
+                        apart = shingles.differences(np.stack([bits[x] for x in i - first]), np.stack([bits[x] for x in j - first]))
+                        hit = shingles.possible(apart, n[i][:, None] + n[j][None, :], percent) & (label[i][:, None] != label[j][None, :])
+                        hope[i[hit.any(1)] - first] = True
+                        hope[j[hit.any(0)] - first] = True
+                yield pa.RecordBatch.from_arrays([pa.array(key[first:last][hope])], names=["key"])
+
+    return run
 
 
 def common_counts(sets: list[np.ndarray], split: int = 0, columns: int = 4096) -> np.ndarray:
@@ -305,8 +358,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    headed = stored(rows.mapInArrow(_sizes(percent), "doc_id bigint, n bigint, key bigint, head array<bigint>"), "jaccard-heads")
-    sized = stored(headed.drop("head"), "jaccard-sizes")
+    headed = stored(rows.mapInArrow(_sizes(percent), "doc_id bigint, n bigint, key bigint, bits binary, head array<bigint>"), "jaccard-heads")
+    sized = stored(headed.drop("bits", "head"), "jaccard-sizes")
+    bitmaps = stored(headed.where("bits is not null").select("key", "n", "bits").dropDuplicates(["key"]), "jaccard-bitmaps")
 
     counted = headed.where("head is not null").select(F.explode("head").alias("token")).groupBy("token").count().where(F.col("count") > COMMON)
     common = counted.orderBy(F.col("count").desc(), "token").limit(MOST_COMMON).select("token", "count").toArrow()
@@ -336,8 +390,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
         keyed = near.mapInArrow(_keyed, "key bigint, text string").join(wanted, "key", "left_semi")
         return stored(keyed.dropDuplicates(["key"]), "jaccard-texts")
 
-    star_texts = texts_of(stars)
-    linked = stored(verify(stars, star_texts, percent), "jaccard-links")
+    likely = stored(possible(stars, bitmaps, percent), "jaccard-likely")
+    star_texts = texts_of(likely)
+    linked = stored(verify(likely, star_texts, percent), "jaccard-links")
     discard(star_texts)
     labels = stored(components(linked), "jaccard-labels")
 
@@ -358,10 +413,14 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     right = few.select("token", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
     near_size = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (F.col("la") < F.col("lb"))
     pairs = left.join(right, "token").where(near_size).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = stored(pairs.join(stars, ["a", "b"], "left_anti"), "jaccard-round")
+    rest = stored(possible(pairs.join(stars, ["a", "b"], "left_anti"), bitmaps, percent), "jaccard-round")
     crowd = stored(_clusters(open_rows.where(F.col("many") > FEW_MEMBERS)), "jaccard-clusters")
+    crowd = stored(_open(crowd, bitmaps, percent), "jaccard-clusters")
+    discard(bitmaps)
     texts = texts_of(rest.union(crowd.select(F.col("key").alias("a"), F.col("key").alias("b"))))
-    more = stored(verify(rest, texts, percent).union(_blocks(crowd, texts, percent)), "jaccard-links")
+    compared = _blocks(crowd, texts, percent).mapInArrow(_compare(percent), "a bigint, b bigint")
+    more = stored(verify(rest, texts, percent).union(compared), "jaccard-links")
+    discard(texts)
     if not more.isEmpty():
         labels = stored(components(linked.union(more)), "jaccard-labels")
 

@@ -10,6 +10,9 @@ WORDS = 5
 #: Bytes of texts that a task works on at a time.
 BYTES = 1 << 18
 
+#: Bits of the longest bitmap; single-precision sums count them exactly.
+MOST_BITS = 1 << 20
+
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256)
@@ -63,6 +66,39 @@ def key(shingles: np.ndarray) -> int:
     return int(hashes.mix(np.array([total], np.uint64)).view(np.int64)[0])
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """Whether a set's shingles in each bucket are odd in number; the buckets are a power of two, and as many as its shingles.
+
+    A shingle that only one of two sets holds turns one bit, so their bitmaps differ in no
+    more bits than the sets in shingles.
+    """
+    bits = min(MOST_BITS, max(64, 1 << (len(shingles) - 1).bit_length()))
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differences(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many bits each bitmap (a row of bytes) of ``left`` differs in from each of ``right``; longer ones are folded."""
+    width = min(left.shape[1], right.shape[1])
+    sides = []
+    for side in (left, right):
+        folded = np.bitwise_xor.reduce(side.reshape(len(side), -1, width), axis=1)
+        sides.append(1 - 2 * np.unpackbits(folded, axis=1).astype(np.float32))
+    return ((8 * width - sides[0] @ sides[1].T) / 2).astype(np.int64)
+
+
+def difference(a: bytes, b: bytes) -> int:
+    """How many bits two bitmaps differ in."""
+    width = min(len(a), len(b))
+    folded = [np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, width), axis=0) for x in (a, b)]
+    return int(np.bitwise_count(folded[0] ^ folded[1]).sum())
+
+
+def possible(apart: np.ndarray, total: np.ndarray, percent: int = 80) -> np.ndarray:
+    """Whether sets of ``total`` shingles together that differ in ``apart`` or more can be similar."""
+    return (100 + percent) * apart <= (100 - percent) * total
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int = 80) -> bool:
     """Whether 100 * intersection >= percent * union."""
     if not len(a) or not len(b):

@@ -317,6 +317,49 @@ def test_join_of_members_that_share_a_shingle_of_two_groups(spark):
     assert len({component for _, _, component in _components(rows)}) == 24
 
 
+def test_join_moves_texts_of_likely_pairs_only(spark, monkeypatch):
+    """Lines that a few texts share, a long one that many share, and three pairs of near copies."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(5000)]
+    text = lambda line, n: " ".join([*line, *rng.choice(words, n)])
+    texts = []
+    for _ in range(6):
+        line = list(rng.choice(words, 30))
+        texts += [text(line, 60) for _ in range(5)]
+    long_line = list(rng.choice(words, 215))
+    texts += [text(long_line, 50) for _ in range(30)]
+    copies = [text([], 120) for _ in range(3)]
+    texts += copies + [t + " more" for t in copies]
+    rows = list(enumerate(texts))
+    moved = Counter()
+
+    def counting(df, label):
+        out = stored(df, label)
+        moved[label] += out.count()
+        return out
+
+    stored = jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", counting)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert _joined(df) == _components(rows)
+    assert moved["jaccard-texts"] == 6
+
+
+def test_bitmaps_differ_in_no_more_than_the_sets():
+    rng = np.random.default_rng(9)
+    pool = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool[:spread], n)) for n, spread in ((1, 4), (63, 80), (64, 80), (65, 80), (700, 800), (900, 1000), (3000, 4000))]
+    bits = [shingles.bitmap(s) for s in sets]
+    assert {len(s): len(b) for s, b in zip(sets, bits)}[1] == 8
+    for a, s in zip(bits, sets):
+        for b, t in zip(bits, sets):
+            apart = shingles.difference(a, b)
+            assert apart <= len(np.setxor1d(s, t)) and shingles.difference(b, a) == apart
+            assert not shingles.similar(s, t) or shingles.possible(apart, len(s) + len(t))
+            both = [np.frombuffer(x, np.uint8)[None, :].repeat(2, 0) for x in (a, b)]
+            assert (shingles.differences(*both) == apart).all()
+
+
 def test_shingle_sets_of_long_texts_in_pieces(monkeypatch):
     texts = [b"a b c d e f g", b"", b" x ", b"A  b\tc d E f g", b"q r"]
     want = shingles.sets(texts)
