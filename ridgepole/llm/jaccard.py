@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,9 +59,9 @@ def _bytes(column: pa.Array) -> list[bytes]:
 
 def _parts(column: pa.Array):
     """Slices of a batch with their shingle sets, a bounded number of bytes at a time."""
-    texts = _bytes(column)
-    for a, b in hashes.slices([len(t) for t in texts], shingles.BYTES):
-        yield a, b, shingles.sets(texts[a:b])
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for a, b in hashes.slices(sizes, shingles.BYTES):
+        yield a, b, shingles.sets(_bytes(column.slice(a, b - a)))
 
 
 def _prefix_length(n: int, percent: int) -> int:

@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ from ridgepole.llm import hashes
 
 BUCKETS = 1 << 15
 #: Characters of texts that a task works on at a time.
-CHARS = 1 << 20
+CHARS = 1 << 18
 UNKNOWN = "und"
 SMOOTHING = 0.5
 
@@ -154,9 +155,9 @@ def predict(docs: DataFrame, model: Model, text: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for a, b in hashes.slices([len(t or "") for t in texts], CHARS):
-                names, scores, sets = infer(model, texts[a:b])
+            texts = batch.column(batch.num_columns - 1)
+            for a, b in hashes.slices(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), CHARS):
+                names, scores, sets = infer(model, texts.slice(a, b - a).to_pylist())
                 rest = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*rest.columns[:-1], pa.array(names), pa.array(scores), pa.array(sets)], names=[*keep, *added])
 

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 
 #: Characters whose ids a task holds at a time.
 BATCH = 1 << 21
+#: The same of texts, which take many times the room of their ids while they are encoded.
+TEXTS = 1 << 18
 
 
 def class_sizes(rest: np.ndarray, capacity: int) -> np.ndarray:
@@ -141,6 +144,19 @@ class Bins:
         return self._batch(done)
 
 
+def _encoded(own: tokens.Encoder, texts: pa.Array, sizes: list[int], separator: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts on end, each with its separator, and how many each has; few texts are open at a time."""
+    parts, lengths = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+    for a, b in hashes.slices(sizes, TEXTS):
+        ids, counts = own.encode([t or "" for t in texts.slice(a, b - a).to_pylist()])
+        ends = counts + 1
+        whole = np.full(int(ends.sum()), separator, np.int64)
+        whole[hashes.expand(np.cumsum(ends) - ends, counts)] = ids
+        parts.append(whole.astype("<u4"))
+        lengths.append(ends)
+    return np.concatenate(parts), np.concatenate(lengths)
+
+
 def pack(docs: DataFrame, tokenizer_path: str, separator: int = 0, capacity: int = 1024, doc_id: Column | None = None, text: Column | None = None) -> DataFrame:
     """One row for each piece: where it lies in its document and in its sequence.
 
@@ -154,13 +170,10 @@ def pack(docs: DataFrame, tokenizer_path: str, separator: int = 0, capacity: int
         own = tokens.encoder(tokenizer_path)
         bins = Bins(capacity, TaskContext.get().partitionId() << 36)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in hashes.slices([len(t) for t in texts], BATCH):
-                ids, counts = own.encode(texts[a:b])
-                lengths = counts + 1
-                whole = np.full(int(lengths.sum()), separator, np.int64)
-                whole[hashes.expand(np.cumsum(lengths) - lengths, counts)] = ids
-                yield bins.add(batch.column(0).slice(a, b - a).cast(pa.int64()), whole, lengths)
+            sizes = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist()
+            for a, b in hashes.slices(sizes, BATCH):
+                ids, lengths = _encoded(own, batch.column(1).slice(a, b - a), sizes[a:b], separator)
+                yield bins.add(batch.column(0).slice(a, b - a).cast(pa.int64()), ids, lengths)
         yield bins.finish()
 
     return rows.mapInArrow(run, PIECES)

@@ -19,9 +19,9 @@ from ridgepole.llm import hashes
 PLAIN = 0x0530
 SLOTS = 1 << 20
 #: Ids kept before the memory of words starts anew.
-KEPT_IDS = 1 << 23
-#: Characters of a batch.
-CHARS = 1 << 20
+KEPT_IDS = 1 << 22
+#: Characters of a batch; while it is cut, each takes some ten words of memory.
+CHARS = 1 << 18
 
 # The blanks of the pre-token pattern's \s below PLAIN, and its contractions.
 _BLANKS = [9, 10, 11, 12, 13, 32, 0x85, 0xA0]
@@ -89,8 +89,8 @@ class Encoder:
 
     def _forget(self) -> None:
         self._slot = np.zeros(SLOTS, np.uint64)
-        self._at = np.zeros(SLOTS, np.int64)
-        self._n = np.zeros(SLOTS, np.int64)
+        self._at = np.zeros(SLOTS, np.int32)
+        self._n = np.zeros(SLOTS, np.int32)
         self._ids = np.empty(1 << 16, np.int32)
         self._used = 0
 

@@ -2,11 +2,14 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +166,33 @@ def test_packing_of_odd_rows(spark, odd, none):
         packing.pack(odd, PATH, capacity=1000)
 
 
+def test_a_task_opens_few_texts_of_a_batch_at_a_time(spark, none, monkeypatch):
+    """Texts and what is made of them take less room than their batch, once a task's fixed tables stand."""
+
+    def peak(work, *args):
+        for _ in work(*args):
+            pass
+        tracemalloc.start()
+        for _ in work(*args):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    rng = np.random.default_rng(5)
+    words = np.array([f" word{i}" for i in range(500)])
+    texts = ["".join(rng.choice(words, 1000)) for _ in range(40)] * 100
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    monkeypatch.setattr(type(none), "mapInArrow", lambda self, run, schema: run)
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    assert batch.nbytes > 24 << 20
+    assert peak(packing.pack(none, PATH), [batch]) < batch.nbytes
+    model = langid.Model(("a", "b"), np.full((2, langid.BUCKETS), 1 / langid.BUCKETS, np.float32))
+    told = langid.predict(none.select("doc_id", "text"), model, F.col("text"))
+    assert peak(told, [batch.slice(0, 2000).append_column("_text", batch.column(1).slice(0, 2000))]) < batch.nbytes / 4
+    assert peak(jaccard._parts, batch.column(1)) < batch.nbytes
+
+
 def test_pieces_of_lengths():
     doc, start, size = packing.cut(np.array([700, 0, 1024, 1, 2049]), 1024)
     found = sorted(zip(doc.tolist(), start.tolist(), size.tolist()))
