@@ -82,3 +82,17 @@ def test_clean_texts_under_repeated_ids_stay(spark, sf_dir):
     assert {k: n for k, n in found.items() if k[0] != 11} == {
         (3, say("a")): 1, (7, say("b")): 1, (9, say("c")): 1, (9, say("d")): 1, (None, say("a")): 1, (12, None): 1, (12, ""): 1,
     }
+
+
+def test_documents_without_an_id_are_compared(spark, sf_dir):
+    """Copies without an id go but for one, so the next stage does not cut their text from all of them."""
+    say = lambda word: " ".join(f"{word}{i}" for i in range(80))
+    rows = [(None, say("a")), (None, say("a")), (None, say("b")), (None, say("b") + " more"), (None, say("c")), (4, say("d")), (5, say("d")), (5, say("e"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
+    found = Counter((r.doc_id, r.text) for r in kept.collect())
+    of_b = [t for i, t in found if t.startswith("b")]
+    assert len(of_b) == 1 and of_b[0] in (say("b"), say("b") + " more")
+    assert found == {(None, say("a")): 1, (None, of_b[0]): 1, (None, say("c")): 1, (4, say("d")): 1, (5, say("e")): 1}
+    left = corpus_pipeline.repeated_passages(spark, kept, sf_dir).select("doc_id", "text").collect()
+    assert Counter((r.doc_id, r.text) for r in left) == found
