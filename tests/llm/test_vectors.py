@@ -101,6 +101,41 @@ def test_near_duplicates_of_odd_rows(odd_vectors):
     assert near.dedup(odd_vectors.limit(0)).count() == 0
 
 
+def test_near_duplicates_are_compared_without_a_shuffle(spark, monkeypatch):
+    """Vectors meet where they lie, in several rounds; ids repeat, and one cell is larger than a round."""
+    rng = np.random.default_rng(5)
+    loose, tight = rng.standard_normal((700, 24)), rng.standard_normal(24) + 0.1 * rng.standard_normal((300, 24))
+    rows = [(i % 990, v.tolist()) for i, v in enumerate(np.concatenate([loose, tight, -0.5 * loose[:40], 2 * loose[:40]]))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    plans, kind = [], type(df)
+    own = kind.mapInArrow
+
+    def noted(self, *args, **options):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return own(self, *args, **options)
+
+    monkeypatch.setattr(kind, "mapInArrow", noted)
+    monkeypatch.setattr(near, "BLOCK", 250)
+    monkeypatch.setattr(near, "CELL", 512)
+    got = _found(df)
+    assert not any("Exchange" in plan for plan in plans) and len(plans) > 4
+    # vectors of one id are not linked, and their links are those of the id
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hit = (x @ x.T >= 0.9) & (ids[:, None] != ids[None, :])
+    names, place = np.unique(ids, return_inverse=True)
+    lead = names[vectors.forest(len(names), *(place[k] for k in np.nonzero(hit)))][place]
+    n_links = np.bincount(place, hit.sum(axis=1))[place]
+    assert got == Counter((int(i), int(n), int(c), bool(c == i)) for i, n, c in zip(ids, n_links, lead))
+
+
+def test_rounds_hold_every_cell_once():
+    many = np.array([0, 3, 4, 25, 0, 10, 1, 10, 0, 7])
+    rounds = list(near._rounds(many, 10))
+    assert rounds == [(0, 2, 0, 1), (3, 3, 0, 3), (3, 3, 1, 3), (3, 3, 2, 3), (4, 5, 0, 1), (6, 6, 0, 1), (7, 8, 0, 1), (9, 9, 0, 1)]
+    assert list(near._rounds(np.zeros(3, np.int64), 10)) == []
+
+
 def _nearest(rows, query_ids, most=20):
     good = [(i, np.array(v, float)) for i, v in rows if i is not None and _usable(v)]
     out = {}
